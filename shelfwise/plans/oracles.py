@@ -33,7 +33,7 @@ _PARTS = {
         SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.v, b.v), 9) AS sim
         FROM vectors a JOIN vectors b ON a.id <> b.id
         WHERE list_cosine_similarity(a.v, b.v) > 0.4""",
-    "similar": """
+    "simranks": """
         SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS rank
         FROM sim""",
     "users": """
@@ -62,7 +62,7 @@ _PARTS = {
         FROM recent e JOIN sim s ON s.a = e.productId
         WHERE e.rank = 1 AND NOT EXISTS (
             SELECT 1 FROM ratings r WHERE r.userId = e.userId AND r.productId = s.b)
-        QUALIFY rank <= 20""",
+        QUALIFY row_number() OVER (PARTITION BY e.userId ORDER BY s.sim DESC, s.b) <= 20""",
     "priority": """
         SELECT c.userId, c.productId,
                round(avg(s.sim * r.score)
@@ -143,8 +143,8 @@ ORACLES: dict[str, str] = {
         "ratings means", "SELECT productId, round(mean, 6) AS avg FROM means"
     ),
     "sink_nested_roundtrip": _with(
-        _SIM + "similar",
-        "SELECT a AS productId, rank, b AS otherId, round(sim, 6) AS score FROM similar",
+        _SIM + "simranks",
+        "SELECT a AS productId, rank, b AS otherId, sim AS score FROM simranks",
     ),
     "keyed_replace": _with(
         _RATED,
@@ -208,20 +208,20 @@ ORACLES: dict[str, str] = {
                       // 1024) % 1000 < 200 AS isTest
         FROM ratings""",
     ),
-    "item_cosine_similarity": _with(_SIM, "SELECT a, b, round(sim, 6) AS sim FROM sim"),
+    "item_cosine_similarity": _with(_SIM, "SELECT a, b, sim FROM sim"),
     "item_cosine_ranked": _with(
-        _SIM + "similar", "SELECT a, rank, b, round(sim, 6) AS sim FROM similar"
+        _SIM + "simranks", "SELECT a, rank, b, sim FROM simranks"
     ),
     "similarity_long_form": _with(
-        _SIM + "similar",
-        "SELECT a, rank, b, round(sim, 6) AS score FROM similar WHERE rank <= 20",
+        _SIM + "simranks",
+        "SELECT a, rank, b, sim AS score FROM simranks WHERE rank <= 20",
     ),
     "item_cf_similarity": _with(
         "ratings rated raters shared itemcf",
         "SELECT a, b, round(score, 6) AS score FROM itemcf",
     ),
     "content_tfidf_similarity": _with(
-        _CONTENT, "SELECT a, b, round(score, 6) AS score FROM content"
+        _CONTENT, "SELECT a, b, score FROM content"
     ),
     "user_item_pairs": _with(
         "ratings vectors users scored",
@@ -231,7 +231,7 @@ ORACLES: dict[str, str] = {
     "distinct_users": _with(_RATED, "SELECT DISTINCT userId FROM ratings"),
     "distinct_products": _with(_RATED, "SELECT DISTINCT productId FROM ratings"),
     "topn_user_recs": _with(
-        _USER_LISTS, "SELECT userId, rank, productId, round(score, 6) AS score FROM userlists"
+        _USER_LISTS, "SELECT userId, rank, productId, score FROM userlists"
     ),
     "rmse_join": _with(
         "ratings vectors users upserted",
@@ -241,10 +241,10 @@ ORACLES: dict[str, str] = {
     ),
     "candidate_products": _with(
         "ratings vectors sim recent candidates",
-        "SELECT userId, rank, productId, round(sim, 6) AS sim FROM candidates",
+        "SELECT userId, rank, productId, sim FROM candidates",
     ),
     "realtime_scores": _with(
-        _STREAM, "SELECT userId, rank, productId, round(score, 6) AS score FROM streamlists"
+        _STREAM, "SELECT userId, rank, productId, score FROM streamlists"
     ),
     "stream_log_to_ratings": _with(_RATED, _PARSED),
     "stream_recent_ratings": _with(
@@ -252,7 +252,7 @@ ORACLES: dict[str, str] = {
         "SELECT userId, rank, productId, score, timestamp FROM recent WHERE rank <= 40",
     ),
     "stream_recs": _with(
-        _STREAM, "SELECT userId, rank, productId, round(score, 6) AS score FROM streamlists"
+        _STREAM, "SELECT userId, rank, productId, score FROM streamlists"
     ),
     "serve_hot": _with(
         _SHOP,

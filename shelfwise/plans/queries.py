@@ -1,7 +1,7 @@
 """The registered queries: every operator over the driver's tables.
 
-Each is a function (spark, folder) -> DataFrame. Doubles are rounded to six decimals, lists are
-compared in exploded form.
+Each is a function (spark, folder) -> DataFrame. Scores that the operators round to nine decimals
+are given as they are, other doubles are rounded to six; lists are compared in exploded form.
 """
 
 from __future__ import annotations
@@ -90,7 +90,7 @@ def sink_nested_roundtrip(spark, folder):
     sinks.overwrite(lists.nested_parts(ranked, "a", "b", "sim").withColumnRenamed("a", "productId"), path)
     stored = files.scan(spark, path, schemas.PRODUCT_RECS)
     return lists.flattened(stored, "productId", "otherId").select(
-        "productId", "rank", "otherId", r6("score")
+        "productId", "rank", "otherId", "score"
     )
 
 
@@ -231,19 +231,19 @@ def _similar(spark, folder) -> DataFrame:
 
 @query
 def item_cosine_similarity(spark, folder):
-    return _sim(spark, folder).select("a", "b", r6("sim"))
+    return _sim(spark, folder).select("a", "b", "sim")
 
 
 @query
 def item_cosine_ranked(spark, folder):
-    return sims.ranked_similarity(_sim(spark, folder)).select("a", "rank", "b", r6("sim"))
+    return sims.ranked_similarity(_sim(spark, folder)).select("a", "rank", "b", "sim")
 
 
 @query
 def similarity_long_form(spark, folder):
     best = sims.item_cosine(item_vectors(spark, folder), VECTOR_DIMS, k=TOP)
     stored = lists.nested(sims.ranked_similarity(best), "a", "b", "sim")
-    return lists.flattened(stored, "a", "b").select("a", "rank", "b", r6("score"))
+    return lists.flattened(stored, "a", "b").select("a", "rank", "b", "score")
 
 
 @query
@@ -253,7 +253,7 @@ def item_cf_similarity(spark, folder):
 
 @query
 def content_tfidf_similarity(spark, folder):
-    return sims.content(products(spark, folder)).select("a", "b", r6("score"))
+    return sims.content(products(spark, folder)).select("a", "b", "score")
 
 
 # Model path on deterministic factors
@@ -286,7 +286,7 @@ def distinct_products(spark, folder):
 @query
 def topn_user_recs(spark, folder):
     stored = lists.nested(_user_lists(spark, folder), "userId", "productId")
-    return lists.flattened(stored, "userId").select("userId", "rank", "productId", r6("score"))
+    return lists.flattened(stored, "userId").select("userId", "rank", "productId", "score")
 
 
 @query
@@ -347,13 +347,13 @@ def _scores(rated: DataFrame, similar: DataFrame) -> DataFrame:
 @query
 def candidate_products(spark, folder):
     found = _candidates(ratings(spark, folder), _similar(spark, folder))
-    return found.select("userId", "rank", "productId", r6("sim"))
+    return found.select("userId", "rank", "productId", "sim")
 
 
 @query
 def realtime_scores(spark, folder):
     found = _scores(ratings(spark, folder), _similar(spark, folder))
-    return found.select("userId", "rank", "productId", r6("score"))
+    return found.select("userId", "rank", "productId", "score")
 
 
 # Streams over a folder of log files
@@ -416,7 +416,7 @@ def _stream_lists(spark, folder) -> DataFrame:
 
 @query
 def stream_recs(spark, folder):
-    return _stream_lists(spark, folder).select("userId", "rank", "productId", r6("score"))
+    return _stream_lists(spark, folder).select("userId", "rank", "productId", "score")
 
 
 # Read models
