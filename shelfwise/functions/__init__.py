@@ -2,9 +2,10 @@ from shelfwise.functions.scalar import (
     cosine,
     epoch_seconds,
     half_star,
+    rounded,
     split_list,
     vector_dot,
     year_month,
 )
 
-__all__ = ["cosine", "epoch_seconds", "half_star", "split_list", "vector_dot", "year_month"]
+__all__ = ["cosine", "epoch_seconds", "half_star", "rounded", "split_list", "vector_dot", "year_month"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.constants import MILLISECOND_FLOOR
+from shelfwise.constants import MILLISECOND_FLOOR, SCORE_DIGITS
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -33,6 +33,12 @@ def split_list(joined: Column) -> Column:
     return F.filter(F.split(joined, r"\|"), lambda item: item != "")
 
 
+def rounded(score: Column, digits: int = SCORE_DIGITS) -> Column:
+    """Half-up rounding by plain arithmetic, so that every engine gives the same bits."""
+    scale = float(10**digits)
+    return F.floor(score * scale + 0.5) / scale
+
+
 def vector_dot(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)

@@ -65,9 +65,10 @@ _PARTS = {
         QUALIFY row_number() OVER (PARTITION BY e.userId ORDER BY s.sim DESC, s.b) <= 20""",
     "priority": """
         SELECT c.userId, c.productId,
-               round(avg(s.sim * r.score)
-                     + log10(greatest(count(*) FILTER (r.score > 3), 1))
-                     - log10(greatest(count(*) FILTER (r.score <= 3), 1)), 9) AS score
+               floor((sum(s.sim * r.score ORDER BY r.rank) / count(*)
+                      + log10(greatest(count(*) FILTER (r.score > 3), 1))
+                      - log10(greatest(count(*) FILTER (r.score <= 3), 1)))
+                     * 1e9::DOUBLE + 0.5::DOUBLE) / 1e9::DOUBLE AS score
         FROM candidates c
         JOIN recent r ON r.userId = c.userId AND r.rank <= 20
         JOIN sim s ON s.a = c.productId AND s.b = r.productId AND s.sim > 0.6
