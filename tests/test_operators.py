@@ -1,0 +1,293 @@
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from shelfwise import schemas
+from shelfwise.functions import cosine, half_star, rounded
+from shelfwise.operators import blocks, history, lists, popularity, realtime, similarity
+from shelfwise.operators.factor_model import top_predictions
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def ratings(spark, data):
+    return spark.createDataFrame(data, schemas.RATING)
+
+
+def test_scalars(spark):
+    df = spark.createDataFrame([(9, 0.1234567895)], "stars int, x double")
+    assert df.select(half_star(F.col("stars"))).first()[0] == 4.5
+    assert df.select(rounded(F.col("x"))).first()[0] == 0.12345679
+    vectors = spark.createDataFrame(
+        [([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])], "a array<double>, b array<double>"
+    )
+    got = [r[0] for r in vectors.select(cosine(F.col("a"), F.col("b"))).collect()]
+    assert got[0] == pytest.approx(math.sqrt(0.5)) and got[1] is None
+
+
+def test_hot_lists_each_product_once(spark):
+    monthly = spark.createDataFrame(
+        [(1, 9, 202204), (1, 8, 202203), (2, 3, 202204), (3, 99, 202201)], schemas.RATE_MORE_RECENTLY
+    )
+    assert rows(popularity.hot(monthly, 2)) == [(1, 1), (2, 2)]
+    assert rows(popularity.hot(monthly, 9)) == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_upsert_keeps_first_time_and_last_score(spark):
+    data = [(1, 2, 3.0, 10), (1, 2, 5.0, 30), (1, 2, 1.0, 20), (1, 3, 2.0, 5)]
+    assert rows(history.upserted(ratings(spark, data))) == [(1, 2, 5.0, 10), (1, 3, 2.0, 5)]
+
+
+def test_recent_limits_before_the_shuffle(spark):
+    data = [(1, p, 1.0, p) for p in range(50)] + [(2, 1, 1.0, 1), (2, 1, 2.0, 1)]
+    got = history.recent(ratings(spark, data), 20)
+    assert [r.productId for r in got.where("userId = 1").orderBy("rank").collect()] == list(
+        range(49, 29, -1)
+    )
+    assert [r.score for r in got.where("userId = 2").orderBy("rank").collect()] == [2.0, 1.0]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_split_is_by_key(spark):
+    data = [(u, p, 1.0, t) for u in range(60) for p in range(60) for t in (1, 2)]
+    marked = history.with_split(ratings(spark, data))
+    assert marked.groupBy("userId", "productId").agg(
+        F.countDistinct("isTest").alias("n")
+    ).where("n > 1").count() == 0
+    assert 0.15 < marked.where("isTest").count() / len(data) < 0.25
+    training, test = history.split_ratings(ratings(spark, data))
+    assert training.count() + test.count() == len(data)
+
+
+def test_lists_round_trip(spark):
+    data = [(1, i, float(100 - i)) for i in range(25)] + [(2, 7, 1.0)]
+    df = spark.createDataFrame(data, "k int, item int, score double")
+    ranked = lists.ranked(df, "k", [F.desc("score"), F.asc("item")])
+    want = rows(ranked.select("k", "rank", "item", "score"))
+    parts = lists.nested_parts(ranked, "k", "item", part_size=10)
+    assert parts.agg(F.max(F.size("recs"))).first()[0] == 10
+    assert rows(lists.flattened(parts, "k", "item", part_size=10)) == want
+    assert rows(lists.flattened(lists.nested(ranked, "k", "item"), "k", "item")) == want
+
+
+def test_blended_keeps_best_source(spark):
+    make = lambda *r: spark.createDataFrame(r, "userId int, productId int, rank int")
+    got = lists.blended([make((1, 5, 2), (1, 6, 1)), make((1, 5, 1), (1, 7, 1))], 3)
+    assert rows(got.select("rank", "productId", "source", "sourceRank")) == [
+        (1, 6, 0, 1), (2, 5, 0, 2), (3, 7, 1, 1),
+    ]
+
+
+def vectors(spark, data):
+    return spark.createDataFrame(
+        [(int(i), [float(x) for x in v]) for i, v in data], "id int, v array<double>"
+    )
+
+
+def brute_top(a, b, k, low, same):
+    out = set()
+    for i, x in a:
+        scored = [
+            (-(math.floor(float(np.dot(x, y)) * 1e9 + 0.5) / 1e9), j)
+            for j, y in b
+            if not (same and i == j)
+        ]
+        out |= {(i, j, -s) for s, j in sorted(s for s in scored if -s[0] > low)[:k]}
+    return out
+
+
+@pytest.mark.parametrize("limit", [blocks.BROADCAST_LIMIT_BYTES, 0])
+@pytest.mark.parametrize("same", [True, False])
+def test_scored_pairs(spark, monkeypatch, limit, same):
+    monkeypatch.setattr(blocks, "LEFT_ROWS", 13)
+    monkeypatch.setattr(blocks, "RIGHT_ROWS", 17)
+    rng = random.Random(3)
+    # A third of the items are copies of one another, so ties are many.
+    a = [(i, [0.5, 0.25]) if i % 3 == 0 else (i, [rng.random(), rng.random()]) for i in range(90)]
+    left = vectors(spark, a)
+    got = blocks.scored_pairs(
+        left, left, 2, threshold=0.3, k=7, same_set=same, broadcast_limit=limit
+    )
+    want = brute_top(a, a, 7, 0.3, same)
+    assert {tuple(r) for r in got.collect()} == want
+    full = blocks.scored_pairs(
+        left, left, 2, threshold=0.3, same_set=same, broadcast_limit=limit
+    )
+    assert {tuple(r) for r in full.collect()} == brute_top(a, a, 999, 0.3, same)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_counted_pairs(spark):
+    a = vectors(spark, [(1, [1.0]), (2, [-1.0])])
+    b = vectors(spark, [(5, [1.0]), (6, [0.0]), (7, [2.0])])
+    assert rows(blocks.counted_pairs(a, b, 1, 0.0)) == [(1, 3, 2), (2, 3, 0)]
+
+
+def test_top_predictions_keeps_positive(spark):
+    got = top_predictions(
+        vectors(spark, [(1, [1.0, 0.0])]), vectors(spark, [(5, [2.0, 0]), (6, [-1.0, 9]), (7, [0, 1])]), 2
+    )
+    assert rows(got) == [(1, 5, 2.0)]
+
+
+def test_zero_vector_has_no_similarity(spark):
+    got = similarity.item_cosine(vectors(spark, [(1, [0, 0]), (2, [1, 0]), (3, [2, 0])]), 2)
+    assert rows(got) == [(2, 3, 1.0), (3, 2, 1.0)]
+
+
+def brute_cf(data, k):
+    raters = defaultdict(set)
+    for u, p, *_ in data:
+        raters[p].add(u)
+    out = set()
+    for a in raters:
+        found = []
+        for b in raters:
+            c = len(raters[a] & raters[b])
+            if a != b and c:
+                found.append((-(c / math.sqrt(len(raters[a]) * len(raters[b]))), b))
+        out |= {(a, b, -s) for s, b in sorted(found)[:k]}
+    return out
+
+
+@pytest.mark.parametrize("dense", [0, 2, 512])
+@pytest.mark.parametrize("join_limit", [3, 256])
+def test_item_cf_with_hot_users(spark, monkeypatch, dense, join_limit):
+    """Hot users go to dense vectors, to split join keys, or (dense=2) to both."""
+    monkeypatch.setattr(similarity, "DENSE_DIMS", dense)
+    rng = random.Random(5)
+    data = [(u, rng.randrange(40), 1.0, 1) for u in range(30) for _ in range(5)]
+    data += [(u, p, 1.0, 1) for u in (100, 101, 102) for p in range(40)]
+    got = similarity.item_cf(ratings(spark, data), 6, join_limit)
+    assert {tuple(r) for r in got.collect()} == brute_cf(data, 6)
+
+
+def brute_content(data, k):
+    docs = {p: Counter(t for t in tags.split("|") if t) for p, tags in data}
+    df = Counter(t for d in docs.values() for t in d)
+    idf = {t: math.log((len(docs) + 1) / (n + 1)) for t, n in df.items()}
+    unit = {}
+    for p, d in docs.items():
+        w = {t: n * idf[t] for t, n in d.items()}
+        length = math.sqrt(sum(x * x for x in w.values()))
+        unit[p] = {t: x / length for t, x in w.items()} if length else {}
+    out = {}
+    for a in docs:
+        found = []
+        for b in docs:
+            s = sum(x * unit[b].get(t, 0.0) for t, x in unit[a].items())
+            s = math.floor(s * 1e9 + 0.5) / 1e9
+            if a != b and s > 0:
+                found.append((-s, b))
+        for s, b in sorted(found)[:k]:
+            out[a, b] = pytest.approx(-s, abs=2e-9)
+    return out
+
+
+@pytest.mark.parametrize("join_limit", [2, 256])
+def test_content(spark, join_limit):
+    rng = random.Random(9)
+    data = [
+        (p, "|".join(["common"] * (p % 3 == 0) + rng.choices("abcdefgh", k=3)) + "|")
+        for p in range(40)
+    ]
+    products = spark.createDataFrame(
+        [(p, "", "", "", tags) for p, tags in data], schemas.PRODUCT
+    )
+    got = {(r.a, r.b): r.score for r in similarity.content(products, 5, join_limit).collect()}
+    assert got == brute_content(data, 5)
+
+
+def sim_table(spark, data):
+    sim = spark.createDataFrame(data, "a int, b int, sim double")
+    return similarity.ranked_similarity(sim)
+
+
+def scorer(events, recent, rated, sim, k=20):
+    """The scoring rule in plain Python."""
+    out = {}
+    table = defaultdict(dict)
+    for a, b, s in sim:
+        table[a][b] = s
+    for user, product in events:
+        near = [(-s, b) for b, s in table[product].items() if (user, b) not in rated]
+        for _, q in sorted(near)[:k]:
+            hits = [(table[q].get(r, 0.0), score) for u, r, score in recent if u == user]
+            hits = [(s, x) for s, x in hits if s > 0.6]
+            if hits:
+                high = sum(x > 3 for _, x in hits)
+                low = len(hits) - high
+                value = sum(s * x for s, x in hits) / len(hits)
+                out[user, q] = value + math.log10(max(1, high)) - math.log10(max(1, low))
+    return out
+
+
+def run_scores(spark, events, recent, rated, sim, k=20):
+    event_df = spark.createDataFrame(events, "userId int, productId int")
+    rated_df = spark.createDataFrame(sorted(rated), "userId int, productId int")
+    recent_df = spark.createDataFrame(
+        [(u, i, p, s) for i, (u, p, s) in enumerate(recent)],
+        "userId int, rank int, productId int, score double",
+    )
+    table = sim_table(spark, sim)
+    cand = realtime.candidates(event_df, table, rated_df, k)
+    return {
+        (r.userId, r.productId): r.score
+        for r in realtime.scores(cand, recent_df, table).collect()
+    }
+
+
+def test_counters(spark):
+    sim = [(1, 50, 0.9)] + [(50, r, 0.8) for r in range(100, 112)]
+    ten_high = [(7, r, 5.0) for r in range(100, 110)]
+    two_low = [(7, 110, 1.0), (7, 111, 3.0)]
+    got = run_scores(spark, [(7, 1)], ten_high + two_low, {(7, 1)}, sim)
+    mean = (10 * 0.8 * 5 + 0.8 * 1 + 0.8 * 3) / 12
+    assert got == {(7, 50): pytest.approx(mean + 1 - math.log10(2), abs=1e-8)}
+    one = run_scores(spark, [(7, 1)], [(7, 100, 5.0)], {(7, 1)}, sim)
+    assert one == {(7, 50): pytest.approx(4.0)}
+
+
+def test_weak_unknown_and_rated_are_absent(spark):
+    sim = [(1, 50, 0.9), (50, 100, 0.6), (1, 51, 0.9), (51, 100, 0.7)]
+    recent = [(7, 100, 4.0), (8, 100, 4.0)]
+    got = run_scores(spark, [(7, 1), (8, 999)], recent, {(7, 51), (7, 1), (8, 999)}, sim)
+    assert got == {}
+
+
+def test_candidates_beyond_many_rated(spark):
+    """A user who rated the first 150 similar products still gets the next ones."""
+    sim = [(1, 1000 + i, 1 - i / 1000) for i in range(400)]
+    rated = {(7, 1000 + i) for i in range(150)}
+    found = realtime.candidates(
+        spark.createDataFrame([(7, 1)], "userId int, productId int"),
+        sim_table(spark, sim),
+        spark.createDataFrame(sorted(rated), "userId int, productId int"),
+        20,
+    )
+    assert [r.productId for r in found.orderBy("rank").collect()] == list(range(1150, 1170))
+
+
+@settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.randoms(use_true_random=False))
+def test_scores_against_plain_python(spark, rng):
+    items = range(12)
+    sim = [(a, b, rng.randrange(40, 100) / 100) for a in items for b in items if a != b]
+    events = [(u, rng.choice(items)) for u in range(4)]
+    recent = [(u, rng.choice(items), rng.randrange(1, 11) / 2) for u in range(4) for _ in range(6)]
+    rated = {(u, p) for u, p, _ in recent} | set(events)
+    want = scorer(events, recent, rated, sim, 5)
+    got = run_scores(spark, events, recent, rated, sim, 5)
+    assert got == {key: pytest.approx(v, abs=1e-8) for key, v in want.items()}
