@@ -359,10 +359,14 @@ def realtime_scores(spark, folder):
 # Streams over a folder of log files
 
 
-def _log_folder(spark, folder, parts: int = 3) -> str:
+def _log_stream(spark, folder, batches: int = 4) -> DataFrame:
+    """The log as a stream of a few micro-batches. Small tables are cut into several files, large
+    ones already come as many."""
     path = scratch_path(spark, "log")
-    log_lines(spark, folder).repartition(parts).write.text(path)
-    return path
+    per_file = table(spark, folder, "lineitem").count() // batches + 1
+    log_lines(spark, folder).write.option("maxRecordsPerFile", per_file).text(path)
+    written = len(spark.read.text(path).inputFiles())
+    return log_stream(spark, path, max_files=-(-written // batches))
 
 
 def _finished(running) -> None:
@@ -373,7 +377,7 @@ def _finished(running) -> None:
 
 @query
 def stream_log_to_ratings(spark, folder):
-    lines = log_stream(spark, _log_folder(spark, folder), max_files=1)
+    lines = _log_stream(spark, folder)
     target = scratch_path(spark, "stream-ratings")
     _finished(
         streams.write_ratings(lines, target, scratch_path(spark, "stream"), available_now=True)
@@ -383,9 +387,7 @@ def stream_log_to_ratings(spark, folder):
 
 @query
 def stream_recent_ratings(spark, folder):
-    rated = streams.ratings_from_lines(
-        log_stream(spark, _log_folder(spark, folder), max_files=1)
-    )
+    rated = streams.ratings_from_lines(_log_stream(spark, folder))
     target = scratch_path(spark, "queues")
     _finished(
         streams.keep_recent_queues(
@@ -397,9 +399,7 @@ def stream_recent_ratings(spark, folder):
 
 
 def _stream_lists(spark, folder) -> DataFrame:
-    rated = streams.ratings_from_lines(
-        log_stream(spark, _log_folder(spark, folder), max_files=1)
-    )
+    rated = streams.ratings_from_lines(_log_stream(spark, folder))
     target = scratch_path(spark, "StreamRecs")
     _finished(
         streams.keep_stream_recs(

@@ -23,7 +23,10 @@ def test_every_twin_belongs_to_a_query():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equal(spark, con, name):
-    assert same_result(QUERIES[name](spark, FOLDER), con, ORACLES[name]) is None
+    frame = QUERIES[name](spark, FOLDER)
+    assert same_result(frame, con, ORACLES[name]) is None
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_entry(spark):
