@@ -65,4 +65,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def compute_slots(spark: SparkSession, units: int) -> int:
     """Partitions for CPU-bound work whose input bytes are too few to guide adaptive planning."""
-    return max(1, min(units, 3 * spark.sparkContext.defaultParallelism))
+    return max(1, min(units, 3 * _cluster_width(spark)))
+
+
+def model_blocks(spark: SparkSession) -> int:
+    """Blocks for model training, so that it can use the whole cluster."""
+    return max(10, _cluster_width(spark))
+
+
+def _cluster_width(spark: SparkSession) -> int:
+    # A cluster that grows on demand may still be small when this is asked; the number of shuffle
+    # partitions then tells what the session was set up for.
+    now = spark.sparkContext.defaultParallelism
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        return max(now, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return now
