@@ -8,4 +8,12 @@ from shelfwise.functions.scalar import (
     year_month,
 )
 
-__all__ = ["cosine", "epoch_seconds", "half_star", "rounded", "split_list", "vector_dot", "year_month"]
+__all__ = [
+    "cosine",
+    "epoch_seconds",
+    "half_star",
+    "rounded",
+    "split_list",
+    "vector_dot",
+    "year_month",
+]

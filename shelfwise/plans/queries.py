@@ -17,6 +17,7 @@ from shelfwise.operators import factor_model as fm
 from shelfwise.operators import history, lists, popularity, realtime
 from shelfwise.operators import similarity as sims
 from shelfwise.plans import serving
+from shelfwise.plans.jobs import product_lists
 from shelfwise.plans.tables import (
     VECTOR_DIMS,
     epoch_of,
@@ -87,7 +88,7 @@ def sink_overwrite_roundtrip(spark, folder):
 def sink_nested_roundtrip(spark, folder):
     path = scratch_path(spark, "ProductRecs")
     ranked = sims.ranked_similarity(_sim(spark, folder))
-    sinks.overwrite(lists.nested_parts(ranked, "a", "b", "sim").withColumnRenamed("a", "productId"), path)
+    sinks.overwrite(product_lists(ranked, "sim"), path)
     stored = files.scan(spark, path, schemas.PRODUCT_RECS)
     return lists.flattened(stored, "productId", "otherId").select(
         "productId", "rank", "otherId", "score"
