@@ -49,12 +49,13 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(vector_dot(a, b), F.sqrt(vector_dot(a, a)) * F.sqrt(vector_dot(b, b)))
 
 
-def register_sql_functions(spark: SparkSession) -> None:
-    """Makes ``changeDate(epochSeconds)`` known to SQL text.
+def register_sql_functions(spark: SparkSession, zone: str = "UTC") -> None:
+    """Makes ``changeDate(epochSeconds)``, the yyyyMM in ``zone``, known to SQL text.
 
     It is a SQL function, so Catalyst inlines it; no Python or JVM closure is involved.
     """
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION changeDate(ts BIGINT) RETURNS INT RETURN "
-        "CAST(date_format(timestamp_seconds(ts), 'yyyyMM') AS INT)"
+        "(SELECT year(t) * 100 + month(t) FROM (SELECT convert_timezone(current_timezone(), "
+        f"'{zone}', CAST(timestamp_seconds(ts) AS TIMESTAMP_NTZ)) AS t))"
     )
