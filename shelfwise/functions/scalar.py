@@ -11,16 +11,18 @@ from shelfwise.constants import MILLISECOND_FLOOR, SCORE_DIGITS
 def epoch_seconds(ts: Column) -> Column:
     """Epoch seconds from a column that mixes seconds and milliseconds."""
     ts = ts.cast("bigint")
-    return F.when(ts >= MILLISECOND_FLOOR, (ts - ts % 1000) / 1000).otherwise(ts).cast("bigint")
+    return F.when(ts >= MILLISECOND_FLOOR, F.floor(ts / 1000)).otherwise(ts).cast("bigint")
 
 
 def year_month(ts: Column, zone: str = "UTC") -> Column:
     """Epoch seconds to an integer yyyyMM in ``zone``, whatever the session zone is."""
-    utc = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), F.timestamp_seconds(ts).cast("timestamp_ntz")
-    )
-    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    return (F.year(local) * 100 + F.month(local)).cast("int")
+    if zone == "UTC":
+        # Whole days make a date without any zone rules, which cost more than the aggregation.
+        day = F.date_from_unix_date(F.floor(ts / 86400).cast("int"))
+    else:
+        here = F.timestamp_seconds(ts).cast("timestamp_ntz")
+        day = F.convert_timezone(F.current_timezone(), F.lit(zone), here).cast("date")
+    return (F.year(day) * 100 + F.month(day)).cast("int")
 
 
 def half_star(stars: Column) -> Column:
@@ -49,13 +51,13 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(vector_dot(a, b), F.sqrt(vector_dot(a, a)) * F.sqrt(vector_dot(b, b)))
 
 
-def register_sql_functions(spark: SparkSession, zone: str = "UTC") -> None:
-    """Makes ``changeDate(epochSeconds)``, the yyyyMM in ``zone``, known to SQL text.
+def register_sql_functions(spark: SparkSession) -> None:
+    """Makes ``changeDate(epochSeconds)``, the yyyyMM in UTC, known to SQL text.
 
     It is a SQL function, so Catalyst inlines it; no Python or JVM closure is involved.
     """
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION changeDate(ts BIGINT) RETURNS INT RETURN "
-        "(SELECT year(t) * 100 + month(t) FROM (SELECT convert_timezone(current_timezone(), "
-        f"'{zone}', CAST(timestamp_seconds(ts) AS TIMESTAMP_NTZ)) AS t))"
+        "(SELECT year(d) * 100 + month(d) "
+        "FROM (SELECT date_from_unix_date(CAST(floor(ts / 86400) AS INT)) AS d))"
     )
