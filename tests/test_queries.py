@@ -6,7 +6,8 @@ import __spark_entry__ as entry
 from check import duck, same_result
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES = {k: v for k, v in entry.queries().items() if k not in entry.TEXT_QUERIES}
+ORACLES = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
