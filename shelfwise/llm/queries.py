@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import simhash
+from shelfwise.llm import secrets, simhash
 from shelfwise.llm.common import table
 
 
@@ -13,8 +13,18 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex",
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}
