@@ -35,11 +35,15 @@ def map_text(
     df: DataFrame,
     column: str,
     schema: StructType | str,
-    function: Callable[[pa.RecordBatch], pa.RecordBatch],
+    build: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
 ) -> DataFrame:
-    """``mapInArrow`` with one output batch for each bounded slice of the input."""
+    """``mapInArrow`` with one output batch for each bounded slice of the input.
+
+    ``build`` is called once in a task and returns the function for its slices.
+    """
 
     def run(batches):
+        function = build()
         for part in slices(batches, column):
             yield function(part)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import secrets, simhash
+from shelfwise.llm import decontaminate, secrets, simhash
 from shelfwise.llm.common import table
 
 
@@ -13,6 +13,12 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents"))
     return found.select(
@@ -24,6 +30,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_decontamination": op2_decontamination,
     "op10_secrets": op10_secrets,
 }
 

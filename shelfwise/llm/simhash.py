@@ -69,7 +69,7 @@ def with_fingerprints(df: DataFrame, text: str, words: int, name: str) -> DataFr
         prints = [fingerprint(x, words) for x in utf8(batch, text)]
         return batch.append_column(name, pa.array(prints, pa.int64()))
 
-    return map_text(df, text, schema, run)
+    return map_text(df, text, schema, lambda: run)
 
 
 def _linear_hash(values: np.ndarray, bits: int) -> np.ndarray:
