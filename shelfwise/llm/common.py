@@ -66,3 +66,28 @@ def fresh_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"{name}_"
     return name
+
+
+def write_file(folder: str, name: str, data: bytes) -> str:
+    """Writes a file into a folder named by a path or URI, whole or not at all; gives its URI.
+
+    For use inside tasks. The folder has to be one that all executors reach.
+    """
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(folder)
+    system.create_dir(path, recursive=True)
+    with system.open_output_stream(f"{path}/.{name}") as out:
+        out.write(data)
+    system.move(f"{path}/.{name}", f"{path}/{name}")
+    return f"{folder}/{name}"
+
+
+def read_range(uri: str, start: int = 0, size: int | None = None) -> bytes:
+    """Bytes of a file written by ``write_file``; a negative start counts from its end."""
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    with system.open_input_file(path) as file:
+        at = start if start >= 0 else max(0, file.size() + start)
+        return file.read_at(file.size() - at if size is None else size, at)

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import decontaminate, secrets, simhash
+from shelfwise.llm import decontaminate, packing, secrets, simhash, wavelet
 from shelfwise.llm.common import table
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -19,6 +26,17 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    shards = wavelet.write_shards(
+        table(spark, folder, "documents"), tokenizer("word_bpe_49k.json")
+    )
+    return wavelet.read_documents(shards).drop("ids")
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents"))
     return found.select(
@@ -31,6 +49,8 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
+    "op8_tokens": op8_tokens,
+    "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
 }
 
