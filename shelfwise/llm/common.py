@@ -77,7 +77,7 @@ def write_file(folder: str, name: str, data: bytes) -> str:
 
     system, path = fs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)
-    with system.open_output_stream(f"{path}/.{name}") as out:
+    with system.open_output_stream(f"{path}/.{name}", compression=None) as out:
         out.write(data)
     system.move(f"{path}/.{name}", f"{path}/{name}")
     return f"{folder}/{name}"

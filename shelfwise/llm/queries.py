@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import decontaminate, packing, secrets, simhash, wavelet
+from shelfwise.llm import decontaminate, packing, secrets, simhash, warc, wavelet
 from shelfwise.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    index = warc.write(table(spark, folder, "pages"))
+    return warc.read(index).drop("url", "payload")
+
+
 def op8_tokens(spark: SparkSession, folder: str) -> DataFrame:
     shards = wavelet.write_shards(
         table(spark, folder, "documents"), tokenizer("word_bpe_49k.json")
@@ -49,9 +54,22 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
+    "op3_warc": op3_warc,
     "op8_tokens": op8_tokens,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS h
+  FROM pages
+), f AS (SELECT h, min(page_id) AS least FROM p WHERE n >= 100 GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+       CASE WHEN least IS NOT NULL AND least IS DISTINCT FROM page_id THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN least IS DISTINCT FROM page_id THEN least END AS refers_to
+FROM p LEFT JOIN f USING (h)
+""",
+}
