@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import decontaminate, packing, secrets, simhash, warc, wavelet
+from shelfwise.llm import decontaminate, extract, packing, secrets, simhash, warc, wavelet
 from shelfwise.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(index).drop("url", "payload")
 
 
+def op6_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(table(spark, folder, "pages"))
+
+
 def op8_tokens(spark: SparkSession, folder: str) -> DataFrame:
     shards = wavelet.write_shards(
         table(spark, folder, "documents"), tokenizer("word_bpe_49k.json")
@@ -55,6 +59,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
+    "op6_extract": op6_extract,
     "op8_tokens": op8_tokens,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,

@@ -1,0 +1,93 @@
+import html as references
+import re
+
+import pytest
+from helpers import SMALL, rows_of
+
+from shelfwise.llm import extract, queries
+
+ARTICLE = (
+    "<p>The first paragraph, with commas, says enough to count as text of the page.</p>"
+    "<p>The second one, also long enough, goes on about the same thing at some length.</p>"
+)
+READ = (
+    "The first paragraph, with commas, says enough to count as text of the page.\n"
+    "The second one, also long enough, goes on about the same thing at some length."
+)
+AROUND = [
+    "<nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>",
+    "<header class=masthead><h2>Site name</h2></header>",
+    '<div class="ad">Buy this, buy that, and buy some more of it while it is cheap.</div>',
+    '<div id="sidebar-left"><p>Sidebar words, which are long enough to be scored as text.</p></div>',
+    '<aside><p>An aside, long enough to be scored as some paragraph of the page text.</p></aside>',
+    '<div class="cookie-notice">We use cookies, and we like them; please accept all of them.</div>',
+    '<section id="comments"><p>A reader says, well, this is a comment of some length, yes.</p></section>',
+    "<form><p>Subscribe here, please, and give us your address of electronic mail.</p><input></form>",
+    "<script>var t = '<p>not text, never, ever, whatever anyone says about it</p>';</script>",
+    "<style>p{margin:0}</style><!-- <p>hidden, really, in a comment of the page</p> -->",
+    '<div style="display: none"><p>Hidden text, long enough to count, if it were seen.</p></div>',
+    "<footer>&copy; The site, its owners, and all others who have some right in it.</footer>",
+]
+
+
+@pytest.mark.parametrize("box", ["article", "main", "div", 'div class="post-content"', "section"])
+@pytest.mark.parametrize("side", AROUND)
+def test_what_stands_around_is_left_out(box, side):
+    tag = box.split()[0]
+    page = f"<html><head><title>T</title></head><body>{side}<{box}>{ARTICLE}</{tag}>{side}</body></html>"
+    assert extract.main_text(page) == READ
+    inside = f"<body><{box}>{ARTICLE}{side}</{tag}>"
+    assert extract.main_text(inside) == READ
+
+
+def test_blocks_and_references():
+    page = (
+        "<body><article><header><h1>Head&amp;line</h1></header><p>One <b>bold</b>&nbsp;word,\n\n and"
+        " more<br>words &#233;&#x1F600; in it<p>Short.<ul><li>First item<li>Second <i>item</i></ul>"
+        "<table><tr><td>a cell<td>b</table><blockquote>Said, by someone, somewhere.</blockquote>"
+        "<p><b>Unclosed.<br><p>Last</article>"
+    )
+    assert extract.main_text(page).split("\n") == [
+        "Head&line", "One bold word, and more words é😀 in it", "Short.", "First item", "Second item",
+        "a cell", "b", "Said, by someone, somewhere.", "Unclosed.", "Last",
+    ]
+
+
+def test_links_weigh_little():
+    links = "".join(f"<p><a href=/{i}>A linked headline, with commas, number {i}, of the page</a></p>" for i in range(30))
+    page = f"<body><div>{links}</div><div>{ARTICLE}</div></body>"
+    assert extract.main_text(page) == READ
+
+
+@pytest.mark.parametrize("page", [
+    "", " ", "<", "<p", "<!--", "<a href='", "</p></p></div>", "<script>", "&#0;", "<p></p>", "<nav>only</nav>",
+])
+def test_broken_pages(page):
+    extract.main_text(page)
+
+
+def test_deep_and_long_pages():
+    assert extract.main_text("<div>" * 5000 + ARTICLE) == READ
+    text = extract.main_text("<body><article>" + ARTICLE * 5000 + "</article>")
+    assert text == "\n".join([READ] * 5000)
+
+
+def test_rows(spark):
+    frame = spark.createDataFrame(
+        [(1, None, None, 1, "x"), (None, "u", f"<article>{ARTICLE}", 1, "x"), (2, "u", "", 1, "x"), (2, "u", "", 1, "x")],
+        "page_id long, url string, html string, n_chars int, text string",
+    )
+    want = [(1, None, "", 0), (None, "u", READ, len(READ)), (2, "u", "", 0), (2, "u", "", 0)]
+    assert rows_of(extract.extract(frame)) == sorted(want, key=repr)
+    assert extract.extract(frame.limit(0)).count() == 0
+
+
+def test_query_reads_the_articles(spark):
+    """On these pages the article element is the main text; read here with patterns alone."""
+    want = []
+    for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect():
+        body = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", body.replace("<br>", " ")))
+        text = "\n".join(x for p in parts if (x := " ".join(references.unescape(p).split())))
+        want.append((r.page_id, r.url, text, len(text)))
+    assert rows_of(queries.op6_extract(spark, SMALL)) == sorted(want, key=repr)
