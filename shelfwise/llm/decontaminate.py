@@ -3,6 +3,11 @@
 An item with at most k edits, cut into k + 1 pieces, keeps one piece unchanged. All pieces of all
 items are found in one pass over a text with an Aho-Corasick automaton. Where a piece is found, the
 stretch of text that the whole item could cover is searched with Myers' bit-parallel algorithm.
+
+Most hits come by chance, so a hit is first verified with its neighbours: pieces are halved into a
+tree, and if n pieces together have fewer than n edits, so has one of their halves. Some piece
+therefore has this property with all groups above it, and its hit passes the checks of the two
+smallest of them.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from shelfwise.llm.common import map_text, slices, strings
 CHARS_PER_EDIT = 10
 # Items are matched in blocks of at most about this many characters; each is broadcast.
 BLOCK_CHARS = 8 << 20
+# Groups of pieces that a hit is checked with before the whole item is.
+CHECKS = 2
 
 FOUND = "item_id {item}, distance int, start int, end int, item_chars int"
 
@@ -71,6 +78,28 @@ def best_match(item: str, text: str, budget: int) -> tuple[int, int, int] | None
     return least, end, end
 
 
+def within(pattern: str, text: str, errors: int) -> bool:
+    """Whether some stretch of the text is at most ``errors`` edits from the pattern."""
+    return any(score <= errors for score in last_row(pattern, text))
+
+
+def groups(count: int) -> list[list[tuple[int, int]]]:
+    """For each of ``count`` pieces, the groups (first, end) around it, smallest first."""
+    around: list[list[tuple[int, int]]] = [[] for _ in range(count)]
+
+    def halve(first, end):
+        if end - first < 2:
+            return
+        middle = (first + end) // 2
+        halve(first, middle)
+        halve(middle, end)
+        for k in range(first, end):
+            around[k].append((first, end))
+
+    halve(0, count)
+    return around
+
+
 class Matcher:
     """Finds items of one block in texts."""
 
@@ -81,21 +110,30 @@ class Matcher:
         self.budgets = [len(text) // chars_per_edit for _, text in items]
         places = defaultdict(list)
         for n, ((_, text), budget) in enumerate(zip(items, self.budgets)):
-            for k in range(budget + 1):
-                i, j = len(text) * k // (budget + 1), len(text) * (k + 1) // (budget + 1)
-                places[text[i:j]].append((n, i))
+            cuts = [len(text) * k // (budget + 1) for k in range(budget + 2)]
+            for k, around in enumerate(groups(budget + 1)):
+                checks = [
+                    (text[cuts[a]:cuts[b]], b - a - 1, cuts[k] - cuts[a]) for a, b in around[:CHECKS]
+                ]
+                places[text[cuts[k]:cuts[k + 1]]].append((n, cuts[k], checks))
         self.automaton = ahocorasick.Automaton()
         for piece, found in places.items():
             self.automaton.add_word(piece, (len(piece), found))
         self.automaton.make_automaton()
 
     def windows(self, text: str) -> dict[int, list[list[int]]]:
-        """For each item with a piece in the text, the merged stretches it could cover."""
+        """For each item with a piece in the text that passes its checks, the merged stretches it could cover."""
         spans: dict[int, list[list[int]]] = {}
         for last, (size, found) in self.automaton.iter(text):
-            for n, offset in found:
+            for n, offset, checks in found:
+                at = last + 1 - size
+                if not all(
+                    within(part, text[max(0, at - back - e):at - back + len(part) + e], e)
+                    for part, e, back in checks
+                ):
+                    continue
                 budget = self.budgets[n]
-                start = last + 1 - size - offset
+                start = at - offset
                 begin, end = start - budget, start + len(self.items[n][1]) + budget
                 spans.setdefault(n, []).append([max(0, begin), min(len(text), end)])
         for n, own in spans.items():
