@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import decontaminate, extract, packing, secrets, simhash, warc, wavelet
+from shelfwise.llm import (
+    decontaminate, extract, packing, quality, rules, secrets, simhash, toxicity, warc, wavelet,
+)
 from shelfwise.llm.common import table
 
 
@@ -31,10 +33,25 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(index).drop("url", "payload")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = rules.judged(table(spark, folder, "documents"))
+    return found.drop("lost_chars", "cleaned")
+
+
 def op6_extract(spark: SparkSession, folder: str) -> DataFrame:
     return extract.extract(table(spark, folder, "pages"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op8_tokens(spark: SparkSession, folder: str) -> DataFrame:
     shards = wavelet.write_shards(
         table(spark, folder, "documents"), tokenizer("word_bpe_49k.json")
@@ -59,7 +76,10 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
+    "op4_quality": op4_quality,
+    "op5_quality_rules": op5_quality_rules,
     "op6_extract": op6_extract,
+    "op7_toxicity": op7_toxicity,
     "op8_tokens": op8_tokens,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
@@ -77,4 +97,55 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
        CASE WHEN least IS DISTINCT FROM page_id THEN least END AS refers_to
 FROM p LEFT JOIN f USING (h)
 """,
+    "op5_quality_rules": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d
+), cut AS (
+  SELECT r, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i
+  FROM d
+), line AS (
+  SELECT r, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw,
+         row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again
+  FROM cut
+), sized AS (
+  SELECT r, line, lw, again, len(lw) AS n, length(array_to_string(lw, '')) AS chars,
+         length(regexp_replace(line, '[^|»›•·]', '', 'g')) AS separators,
+         length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols
+  FROM line WHERE len(lw) > 0
+), judged AS (
+  SELECT r, again, chars,
+    again
+    OR separators >= 3 AND n <= 6 * separators
+    OR 10 * symbols > chars
+    OR n >= 3 AND NOT regexp_matches(line, '\p{Ll}') AND regexp_matches(line, '\p{Lu}')
+    OR n >= 4 AND NOT regexp_matches(line, '[.!?…。！？:;]["''”’)»\]]*([\x20\x09-\x0D]|$)')
+    OR n >= 8 AND 3 * len(list_distinct(lw)) < n
+    OR n <= 20 AND regexp_matches(line, '__BOILERPLATE__') AS fails
+  FROM sized
+), lost AS (
+  SELECT r, count(*) FILTER (again) AS dup, coalesce(sum(chars) FILTER (fails), 0) AS lost
+  FROM judged GROUP BY r
+), windows AS (
+  SELECT r, i, list_slice(w, i, i + 4) AS five
+  FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
+), many AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, five) AS c FROM windows) WHERE c > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM many, (SELECT unnest(range(5)) AS k) GROUP BY r
+), f AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lost, 0) AS lost
+  FROM w LEFT JOIN lost USING (r) LEFT JOIN covered USING (r)
+), b AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * lost <= 30 * word_chars AS kept
+FROM b
+""".replace("__BOILERPLATE__", rules.BOILERPLATE),
 }
