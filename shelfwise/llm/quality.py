@@ -133,7 +133,7 @@ class Model:
             total = weight.sum(axis=1)
             votes = (weight * self.labels[near]).sum(axis=1)
             voted = total > 0
-            out[at:at + BLOCK][voted] = votes[voted] / total[voted]
+            out[at:at + BLOCK][voted] = np.clip(votes[voted] / total[voted], 0, 1)
         return out
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -24,22 +24,26 @@ WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 # Words are hashed; those in fewer labelled documents, or in about as many clean ones, are left out.
 HASHES = 1 << 22
 LEAST_DOCUMENTS = 4
-VOCABULARY = 2_000
+VOCABULARY = 4_000
+PREFIXES = (4, 5, 6)
+# Words whose weights a task remembers; it starts again when there are more.
+KNOWN_WORDS = 300_000
 STEPS, RATE, DECAY = 400, 0.3, 2e-4
 LOCATED = 0.5
 THRESHOLD = 0.7
 
 
-def word_hashes(sentence: str) -> list[int]:
-    checksum = zlib.crc32
-    return [checksum(w.encode()) % HASHES for w in WORD.findall(sentence.lower())]
+def word_hashes(word: str) -> list[int]:
+    """The features of a lower-case word: itself, and its first letters, for inflected forms."""
+    forms = [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)]
+    return [zlib.crc32(f.encode()) % HASHES for f in forms]
 
 
-def sentences(text: str) -> list[tuple[int, int, list[int]]]:
-    """(start, end, word hashes) of every sentence with words."""
+def sentences(text: str) -> list[tuple[int, int, set[str]]]:
+    """(start, end, distinct lower-case words) of every sentence with words."""
     out = []
     for m in SENTENCE.finditer(text):
-        if found := word_hashes(m[0]):
+        if found := set(WORD.findall(m[0].lower())):
             out.append((m.start(), m.end(), found))
     return out
 
@@ -54,6 +58,7 @@ class Model:
 
     weights: dict[int, float]
     bias: float
+    _known: dict[str, float] = field(default_factory=dict, repr=False)
 
     @classmethod
     def fitted(cls, documents: list[list[np.ndarray]], labels: np.ndarray) -> Model:
@@ -80,7 +85,7 @@ class Model:
         pairs, owner, plain = [], [], np.zeros(len(documents))
         for d, sents in enumerate(documents):
             for words in sents:
-                own = {place[w] for w in words.tolist() if w in place}
+                own = [place[w] for w in words.tolist() if w in place]
                 if own:
                     pairs += [(len(owner), w) for w in own]
                     owner.append(d)
@@ -108,22 +113,25 @@ class Model:
             bias -= RATE * bias_change / np.sqrt(bias_sum)
         return cls({w: float(weights[i]) for w, i in place.items()}, float(bias))
 
-    def probabilities(self, sents: list[tuple[int, int, list[int]]]) -> list[float]:
-        get = self.weights.get
-        return [
-            float(_sigmoid(self.bias + sum(get(w, 0.0) for w in set(words)))) for _, _, words in sents
-        ]
+    def logit(self, words: set[str]) -> float:
+        """Of a sentence with these words."""
+        known, total = self._known, self.bias
+        for w in words:
+            weight = known.get(w)
+            if weight is None:
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
+                weight = known[w] = sum(self.weights.get(h, 0.0) for h in word_hashes(w))
+            total += weight
+        return total
+
+    def probabilities(self, sents: list[tuple[int, int, set[str]]]) -> list[float]:
+        return [float(_sigmoid(self.logit(words))) for _, _, words in sents]
 
     def score(self, text: str) -> float:
         """The noisy-or over all sentences; zero without any."""
-        get, clean, plain = self.weights.get, 0.0, 0
-        for _, _, words in sentences(text):
-            total = sum(get(w, 0.0) for w in set(words))
-            if total:
-                clean += np.log1p(-_sigmoid(self.bias + total))
-            else:
-                plain += 1
-        return float(-np.expm1(clean + plain * np.log1p(-_sigmoid(self.bias))))
+        logits = np.array([self.logit(words) for _, _, words in sentences(text)])
+        return float(-np.expm1(np.log1p(-_sigmoid(logits)).sum())) if len(logits) else 0.0
 
 
 def fit(
@@ -132,13 +140,15 @@ def fit(
 ) -> Model:
     """A model from at most ``rows`` labelled documents that are not held out.
 
-    Their sentences come to the driver as word hashes.
+    Their sentences come to the driver as hashed features.
     """
 
     def run(batch):
         packed = []
         for text in strings(batch, "text"):
-            found = [words for _, _, words in sentences(text)]
+            found = [
+                [h for w in sorted(words) for h in word_hashes(w)] for _, _, words in sentences(text)
+            ]
             flat = [len(found), *map(len, found), *(w for words in found for w in words)]
             packed.append(np.array(flat, "<i4").tobytes())
         return pa.RecordBatch.from_arrays(
