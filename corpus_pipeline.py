@@ -1,25 +1,52 @@
-"""The text pipeline: quality rules, near-duplicates, decontamination, secrets, packing."""
+"""The text pipeline: quality rules, near-duplicates, decontamination, secrets, packing.
+
+Each stage takes the table the stage before wrote. All but the last give the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import simhash
+from shelfwise.llm import decontaminate, packing, rules, secrets, simhash
 from shelfwise.llm.common import table
+from shelfwise.llm.queries import tokenizer
 from shelfwise.session import staged
 
-Docs = DataFrame
+
+def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Rejected documents go; the others lose the lines that fail."""
+    return rules.cleaned(docs)
 
 
-def near_duplicates(spark: SparkSession, docs: Docs, folder: str) -> Docs:
+def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each near-duplicate component stays."""
     return simhash.one_of_each(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.cleaned(docs, table(spark, folder, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark; all documents stay."""
+    return secrets.redacted(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents' tokens as pieces of training sequences."""
+    return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("packing", pack),
 ]
 
+# SQL has neither the hash of the near-duplicates nor the tokenizer.
 ORACLE_SQL = None
 
 
