@@ -9,17 +9,20 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
-# The cache of a task is emptied when it holds more pieces than this.
-CACHE_PIECES = 300_000
+# The cache of a task has two halves of this size; the older one goes when the newer one is full.
+CACHE_PIECES = 120_000
 
 _WITH_SPACE = re.compile(r" ?\S+|\s+(?!\S)|\s")
 _WITHOUT_SPACE = re.compile(r"\S+")
 # White space in Python, but not in the tokenizers' patterns.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-_WORD_AND_MARKS = re.compile(r"( ?\w+)([!-/:-@\[-^`{-~]+)")
+_MARKS = r"([!-/:-@\[-^`{-~]*)"
+# Letters whose lower case and normal form are plain, with marks after them.
+_PLAIN_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)" + _MARKS)
 
 
 class Encoder:
@@ -27,45 +30,64 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        added = self._tokenizer.get_added_tokens_decoder().values()
-        self._added = [t.content for t in added]
-        self._cut = _WITH_SPACE if self._plain([" a"]) != self._plain(["a"]) else _WITHOUT_SPACE
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        spaced = self._plain(" a") != self._plain("a")
+        self._find = (_WITH_SPACE if spaced else _WITHOUT_SPACE).findall
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        # A plain word is one pre-token, so the model alone can encode it once it is normalised and
+        # its bytes are written as the model's letters. What that does is asked of the library.
+        self._tokenize = self._tokenizer.model.tokenize
+        letters = " " + "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)]))
+        normal = self._tokenizer.normalizer or normalizers.Sequence([])
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._letters = {
+            ord(c): shown.pre_tokenize_str(n)[0][0]
+            for c in letters
+            if _PLAIN_WORD.fullmatch(f" {c}"[-2:]) or c == " "
+            for n in [normal.normalize_str(c)]
+        }
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        cut = [self._pieces(t) for t in texts]
-        known = self._known
-        if missing := {p for pieces in cut for p in pieces if p not in known}:
-            self._learn(missing)
-        out = [b"".join([known[p] for p in pieces]) for pieces in cut]
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        return out
+        return [self._encode(t) for t in texts]
 
-    def _plain(self, pieces: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _pieces(self, text: str) -> list[str]:
+    def _encode(self, text: str) -> bytes:
         if _SEPARATORS.search(text) or any(x in text for x in self._added):
-            return [text]
-        return self._cut.findall(text)
+            return self._plain(text)
+        pieces = self._find(text)
+        found = list(map(self._known.get, pieces))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._met(pieces[i])
+        return b"".join(found)
+
+    def _met(self, piece: str) -> bytes:
+        """The ids of a piece that the newer half of the cache may lack."""
+        ids = self._known.get(piece)
+        if ids is not None:
+            return ids
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = self._learned(piece)
+        if len(self._known) >= CACHE_PIECES:
+            self._older, self._known = self._known, {}
+        self._known[piece] = ids
+        return ids
+
+    def _learned(self, piece: str) -> bytes:
+        match = _PLAIN_WORD.fullmatch(piece)
+        if match is None:
+            return self._plain(piece)
+        word, marks = match.groups()
+        if marks:
+            return self._met(word) + self._met(marks)
+        return array("I", [t.id for t in self._tokenize(word.translate(self._letters))]).tobytes()
 
-    def _learn(self, missing: set[str]) -> None:
-        # Marks after a word of letters are a pre-token of their own.
-        known, single, double = self._known, set(), {}
-        for piece in missing:
-            match = _WORD_AND_MARKS.fullmatch(piece)
-            if match and match[1].lower().lstrip(" ").isalpha():
-                double[piece] = match.groups()
-                single.update(match.groups())
-            else:
-                single.add(piece)
-        rest = [p for p in single if p not in known]
-        known.update(zip(rest, self._plain(rest)))
-        for piece, (word, marks) in double.items():
-            known[piece] = known[word] + known[marks]
+    def _plain(self, text: str) -> bytes:
+        found = self._tokenizer.encode(text, add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
