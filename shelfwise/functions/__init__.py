@@ -1,4 +1,5 @@
 from shelfwise.functions.scalar import (
+    complete,
     cosine,
     epoch_seconds,
     half_star,
@@ -9,6 +10,7 @@ from shelfwise.functions.scalar import (
 )
 
 __all__ = [
+    "complete",
     "cosine",
     "epoch_seconds",
     "half_star",

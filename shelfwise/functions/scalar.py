@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,17 @@ def epoch_seconds(ts: Column) -> Column:
     return F.when(ts >= MILLISECOND_FLOOR, F.floor(ts / 1000)).otherwise(ts).cast("bigint")
 
 
+def complete(names: Iterable[str], number: str | None = None) -> Column:
+    """No column is NULL and ``number`` is finite; true or false, never NULL."""
+    ok = F.lit(True)
+    for name in names:
+        ok = ok & F.col(name).isNotNull()
+    if number is not None:
+        finite = ~F.isnan(number) & (F.abs(number) < float("inf"))
+        ok = ok & F.coalesce(finite, F.lit(False))
+    return ok
+
+
 def year_month(ts: Column, zone: str = "UTC") -> Column:
     """Epoch seconds to an integer yyyyMM in ``zone``, whatever the session zone is."""
     if zone == "UTC":

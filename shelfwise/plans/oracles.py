@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+# Value i of an embedding, from 0, is added into component i mod 5.
+_FOLDED = ", ".join(" + ".join(f"e[{i + 1}]" for i in range(r, 64, 5)) for r in range(5))
+
 # Building blocks, combined into WITH clauses below.
 _PARTS = {
     "ratings": """
@@ -26,9 +29,9 @@ _PARTS = {
         SELECT 'INFO --- [exec] rest.ProductApi : ' || value AS value FROM encoded
         UNION ALL
         SELECT 'INFO --- [exec] user ' || user_id || ' ' || event_type FROM events""",
-    "vectors": """
-        SELECT CAST(vec_id AS INT) AS id, CAST(embedding[1:5] AS DOUBLE[]) AS v
-        FROM embeddings""",
+    "vectors": f"""
+        SELECT CAST(vec_id AS INT) AS id, [{_FOLDED}] AS v
+        FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)""",
     "sim": """
         SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.v, b.v), 9) AS sim
         FROM vectors a JOIN vectors b ON a.id <> b.id
@@ -204,7 +207,7 @@ ORACLES: dict[str, str] = {
     "recent_ratings": _with("ratings recent", "SELECT * FROM recent WHERE rank <= 20"),
     "train_test_split": _with(
         _RATED,
-        """SELECT *, ((((CAST(userId AS BIGINT) * 7919 + CAST(productId AS BIGINT) * 104729)
+        """SELECT *, ((((CAST(userId AS BIGINT) * 7919 + CAST(productId AS BIGINT) * 104729) % 2147483648
                         * 1103515245 + 12345) % 2147483648 * 1103515245 + 12345) % 2147483648
                       // 1024) % 1000 < 200 AS isTest
         FROM ratings""",

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.sources.events import encoded
 
 VECTOR_DIMS = 5
+# Values of an embedding; value i is added into component i mod VECTOR_DIMS.
+EMBEDDING_DIMS = 64
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,10 +48,15 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def item_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, v): five dimensions per item, in the place of rank-5 item factors."""
+    """(id, v): an item's whole embedding folded to five components, in the place of rank-5 item
+    factors."""
+    wide = F.col("embedding").cast("array<double>")
+    folded = [
+        reduce(Column.__add__, [F.get(wide, F.lit(i)) for i in range(r, EMBEDDING_DIMS, VECTOR_DIMS)])
+        for r in range(VECTOR_DIMS)
+    ]
     return table(spark, folder, "embeddings").select(
-        F.col("vec_id").cast("int").alias("id"),
-        F.slice("embedding", 1, VECTOR_DIMS).cast("array<double>").alias("v"),
+        F.col("vec_id").cast("int").alias("id"), F.array(*folded).alias("v")
     )
 
 

@@ -163,20 +163,34 @@ def brute_cf(data, k):
     return out
 
 
-@pytest.mark.parametrize("dense, group_rows", [(0, 100), (0, 10), (2, 100), (512, 100)])
-@pytest.mark.parametrize("join_limit", [3, 256])
-def test_item_cf_with_hot_users(spark, monkeypatch, dense, group_rows, join_limit):
-    """Hot users go to dense vectors, to split join keys, or (dense=2) to both; with few group
-    rows also hot products leave their group."""
-    monkeypatch.setattr(similarity, "DENSE_DIMS", dense)
-    monkeypatch.setattr(similarity, "GROUP_ROWS", group_rows)
+@pytest.mark.parametrize("part_items", [3, 256])
+def test_item_cf_with_hot_users(spark, monkeypatch, part_items):
+    monkeypatch.setattr(similarity, "PART_ITEMS", part_items)
     rng = random.Random(5)
-    data = [(u, rng.randrange(40), 1.0, 1) for u in range(30) for _ in range(5)]
-    data += [(u, p, 1.0, 1) for u in (100, 101, 102) for p in range(40)]
-    got = similarity.item_cf(ratings(spark, data), 6, join_limit)
+    data = [(u, rng.randrange(-20, 20), 1.0, 1) for u in range(30) for _ in range(5)]
+    data += [(u, p, 1.0, 1) for u in (100, 101, 102) for p in range(-20, 20)]
+    got = similarity.item_cf(ratings(spark, data), 6)
     assert {tuple(r) for r in got.collect()} == brute_cf(data, 6)
 
 
+def test_item_cf_with_a_user_of_many_products(spark):
+    data = [(1, p, 1.0, 1) for p in range(1200)] + [(2, 3, 1.0, 1), (2, 700, 1.0, 1)]
+    got = similarity.item_cf(ratings(spark, data), 2)
+    rows = {}
+    for r in got.collect():
+        rows.setdefault(r.a, []).append((r.b, round(r.score, 9)))
+    assert len(rows) == 1200 and all(len(x) == 2 for x in rows.values())
+    assert rows[3][0] == (700, 1.0) and rows[700][0] == (3, 1.0)
+    assert rows[5] == [(0, 1.0), (1, 1.0)]
+
+
+def test_content_leaves_out_what_rounds_to_zero(spark):
+    """Two products share one tag that weighs next to nothing beside one repeated very often."""
+    tags = [(1, "shared|" + "x|" * 60_000), (2, "shared|" + "y|" * 60_000), (3, "z")]
+    products = spark.createDataFrame([(p, "", "", "", t) for p, t in tags], schemas.PRODUCT)
+    assert similarity.content(products).collect() == []
+
+
 def brute_content(data, k):
     docs = {p: Counter(t for t in tags.split("|") if t) for p, tags in data}
     df = Counter(t for d in docs.values() for t in d)
@@ -199,9 +213,9 @@ def brute_content(data, k):
     return out
 
 
-@pytest.mark.parametrize("join_limit, group_rows", [(2, 100), (256, 100), (256, 3)])
-def test_content(spark, monkeypatch, join_limit, group_rows):
-    monkeypatch.setattr(similarity, "GROUP_ROWS", group_rows)
+@pytest.mark.parametrize("part_items", [2, 256])
+def test_content(spark, monkeypatch, part_items):
+    monkeypatch.setattr(similarity, "PART_ITEMS", part_items)
     rng = random.Random(9)
     data = [
         (p, "|".join(["common"] * (p % 3 == 0) + rng.choices("abcdefgh", k=3)) + "|")
@@ -210,7 +224,7 @@ def test_content(spark, monkeypatch, join_limit, group_rows):
     products = spark.createDataFrame(
         [(p, "", "", "", tags) for p, tags in data], schemas.PRODUCT
     )
-    got = {(r.a, r.b): r.score for r in similarity.content(products, 5, join_limit).collect()}
+    got = {(r.a, r.b): r.score for r in similarity.content(products, 5).collect()}
     assert got == brute_content(data, 5)
 
 
