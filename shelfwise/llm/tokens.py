@@ -14,7 +14,7 @@ from array import array
 import numpy as np
 
 # The cache of a task has two halves of this size; the older one goes when the newer one is full.
-CACHE_PIECES = 120_000
+CACHE_PIECES = 220_000
 
 _WITH_SPACE = re.compile(r" ?\S+|\s+(?!\S)|\s")
 _WITHOUT_SPACE = re.compile(r"\S+")

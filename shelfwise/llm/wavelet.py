@@ -27,7 +27,7 @@ from shelfwise.session import compute_slots, scratch_path, staged
 MAGIC = b"WVLT1"
 END_ID = 1
 # A shard is closed when it has this many ids; a longer document has a shard of its own.
-SHARD_IDS = 4 << 20
+SHARD_IDS = 2 << 20
 BLOCK_WORDS = 8
 
 
@@ -80,8 +80,8 @@ class WaveletMatrix:
         now = ids.astype(np.uint16 if width <= 16 else np.uint32)
         zeros, planes = [], []
         for k in reversed(range(width)):
-            bits = (now >> k & 1).view(np.uint8 if now.itemsize == 1 else now.dtype).astype(bool)
-            low, high = now[~bits], now[bits]
+            bits = (now & now.dtype.type(1 << k)) != 0
+            low, high = now.compress(~bits), now.compress(bits)
             zeros.append(len(low))
             planes.append(Plane.of(bits))
             now = np.concatenate([low, high])
@@ -93,8 +93,8 @@ class WaveletMatrix:
         for k, (zeros, plane) in enumerate(zip(reversed(self.zeros), reversed(self.planes))):
             bits = plane.bits(self.size)
             above = np.empty_like(now)
-            above[~bits] = now[:zeros]
-            above[bits] = now[zeros:] | now.dtype.type(1 << k)
+            above[np.flatnonzero(~bits)] = now[:zeros]
+            above[np.flatnonzero(bits)] = now[zeros:] | now.dtype.type(1 << k)
             now = above
         return now.astype("<u4")
 
