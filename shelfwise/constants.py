@@ -33,6 +33,10 @@ STREAM_RECS = "StreamRecs"
 ITEM_CF_RECS = "ItemCFProductRecs"
 CONTENT_RECS = "ContentBasedProductRecs"
 
+# Lines of the input files that are no product or rating.
+REJECTED_PRODUCT = "RejectedProduct"
+REJECTED_RATING = "RejectedRating"
+
 # Epoch values from here on are milliseconds, below it seconds.
 MILLISECOND_FLOOR = 100_000_000_000
 

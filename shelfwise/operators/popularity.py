@@ -60,11 +60,11 @@ def _numbered(top: DataFrame, order: list) -> DataFrame:
     return top.select("productId", F.row_number().over(Window.orderBy(*order)).alias("rank"))
 
 
-def register_views(ratings: DataFrame) -> None:
-    """Registers ``ratings`` and ``ratingOfMonth`` for use from SQL text."""
+def register_views(ratings: DataFrame, prefix: str = "") -> None:
+    """Registers ``ratings`` and ``ratingOfMonth``, with a prefix, for use from SQL text."""
     spark = ratings.sparkSession
     register_sql_functions(spark)
-    ratings.createOrReplaceTempView("ratings")
+    ratings.createOrReplaceTempView(f"{prefix}ratings")
     ratings.select(
         "productId", "score", year_month(epoch_seconds(F.col("timestamp"))).alias("yearmonth")
-    ).createOrReplaceTempView("ratingOfMonth")
+    ).createOrReplaceTempView(f"{prefix}ratingOfMonth")

@@ -108,6 +108,15 @@ _PARTS = {
         SELECT a, b, score, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS rank
         FROM tagsim WHERE score > 0
         QUALIFY rank <= 20""",
+    "split": """
+        SELECT *, ((((CAST(userId AS BIGINT) * 7919 + CAST(productId AS BIGINT) * 104729) % 2147483648
+                        * 1103515245 + 12345) % 2147483648 * 1103515245 + 12345) % 2147483648
+                      // 1024) % 1000 < 200 AS isTest
+        FROM ratings""",
+    "held": """
+        SELECT count(*) AS n FROM (SELECT DISTINCT userId, productId FROM split WHERE isTest)
+        WHERE userId IN (SELECT userId FROM split WHERE NOT isTest)
+          AND productId IN (SELECT productId FROM split WHERE NOT isTest)""",
     "customers": "SELECT CAST(c_custkey AS INT) AS userId FROM customer",
 }
 
@@ -205,13 +214,7 @@ ORACLES: dict[str, str] = {
     ),
     "rating_upsert": _with("ratings upserted", "SELECT * FROM upserted"),
     "recent_ratings": _with("ratings recent", "SELECT * FROM recent WHERE rank <= 20"),
-    "train_test_split": _with(
-        _RATED,
-        """SELECT *, ((((CAST(userId AS BIGINT) * 7919 + CAST(productId AS BIGINT) * 104729) % 2147483648
-                        * 1103515245 + 12345) % 2147483648 * 1103515245 + 12345) % 2147483648
-                      // 1024) % 1000 < 200 AS isTest
-        FROM ratings""",
-    ),
+    "train_test_split": _with("ratings split", "SELECT * FROM split"),
     "item_cosine_similarity": _with(_SIM, "SELECT a, b, sim FROM sim"),
     "item_cosine_ranked": _with(
         _SIM + "simranks", "SELECT a, rank, b, sim FROM simranks"
@@ -232,6 +235,27 @@ ORACLES: dict[str, str] = {
         """SELECT userId, count(*) AS pairs, count(*) FILTER (score > 0) AS positive
         FROM scored GROUP BY userId""",
     ),
+    "als_factors": _with(
+        _RATED,
+        """SELECT DISTINCT 'user' AS kind, userId AS id, 5 AS dims FROM ratings
+        UNION ALL SELECT DISTINCT 'item', productId, 5 FROM ratings""",
+    ),
+    "als_user_recs": _with(
+        _RATED,
+        """SELECT DISTINCT userId, true AS sized, true AS positive, true AS falling FROM ratings""",
+    ),
+    "als_product_recs": _with(
+        _RATED, "SELECT DISTINCT productId, true AS inside, true AS symmetric FROM ratings"
+    ),
+    "als_grid_rmse": _with(
+        "ratings split held",
+        """SELECT CAST(rank AS INT) AS rank, CAST(reg AS DOUBLE) AS lambda, n, true AS finite
+        FROM (SELECT unnest([5, 10, 20, 50]) AS rank), (SELECT unnest([1.0, 0.1, 0.01]) AS reg),
+             held""",
+    ),
+    "als_grid_best": _with(
+        _RATED, 'SELECT true AS "isLeast", true AS "inGrid" FROM ratings LIMIT 1'
+    ),
     "distinct_users": _with(_RATED, "SELECT DISTINCT userId FROM ratings"),
     "distinct_products": _with(_RATED, "SELECT DISTINCT productId FROM ratings"),
     "topn_user_recs": _with(
@@ -299,6 +323,12 @@ ORACLES: dict[str, str] = {
         "userId",
         "SELECT userId, productId, rank FROM userlists",
     ),
+    "serve_rec_products": _served(
+        _SHOP + "vectors users scored userlists customers",
+        "SELECT userId FROM customers",
+        "userId",
+        "SELECT userId, productId, rank FROM userlists",
+    ),
     "serve_stream_recs": _served(
         _SHOP + "vectors sim recent candidates priority streamlists customers",
         "SELECT userId FROM customers",

@@ -11,12 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise import constants as C
 from shelfwise import schemas
 from shelfwise.functions import epoch_seconds, half_star, year_month
 from shelfwise.operators import factor_model as fm
 from shelfwise.operators import history, lists, popularity, realtime
 from shelfwise.operators import similarity as sims
 from shelfwise.plans import serving
+from shelfwise.plans import jobs
 from shelfwise.plans.jobs import product_lists
 from shelfwise.plans.tables import (
     VECTOR_DIMS,
@@ -304,19 +306,57 @@ def rmse_join(spark, folder):
 # Factor model
 
 
+# A trained model has no SQL form, but what must hold of it has: these give one row per user, item
+# or setting with properties that the twins derive from the tables alone.
+
+
 @query
 def als_factors(spark, folder):
-    return fm.factors(fm.train(ratings(spark, folder)))
+    return fm.factors(fm.train(ratings(spark, folder))).select(
+        "kind", "id", F.size("features").alias("dims")
+    )
 
 
 @query
 def als_user_recs(spark, folder):
-    return lists.flattened(fm.user_lists(fm.train(ratings(spark, folder))), "userId")
+    """Per user: whether the list has 1 to 20 products, ranked from 1, all scores above zero and
+    none above the one before."""
+    found = fm.user_lists(fm.train(ratings(spark, folder)))
+    scores = F.transform("recs", lambda r: r["score"])
+    falls = F.forall(
+        F.zip_with(
+            F.slice(scores, 2, TOP), F.slice(scores, 1, F.size(scores) - 1), lambda y, x: y <= x
+        ),
+        lambda ok: ok,
+    )
+    return found.select(
+        "userId",
+        F.size("recs").between(1, TOP).alias("sized"),
+        F.forall(scores, lambda s: s > 0).alias("positive"),
+        falls.alias("falling"),
+    )
 
 
 @query
 def als_product_recs(spark, folder):
-    return fm.product_similarity(fm.train(ratings(spark, folder)))
+    """Per product: whether all listed cosines are in (0.4, 1] and its lists and those that name it
+    are equally many."""
+    model = fm.train(ratings(spark, folder))
+    found = staged(fm.product_similarity(model), "als-similar")
+    listed = found.groupBy(F.col("a").alias("id")).agg(
+        F.count("*").alias("n"), F.min("sim").alias("low"), F.max("sim").alias("high")
+    )
+    named = found.groupBy(F.col("b").alias("id")).agg(F.count("*").alias("m"))
+    inside = (F.col("low") > 0.4) & (F.col("high") <= 1.0)
+    return (
+        fm.factors(model).where("kind = 'item'").select("id")
+        .join(listed, "id", "left").join(named, "id", "left")
+        .select(
+            F.col("id").alias("productId"),
+            F.coalesce(inside, F.lit(True)).alias("inside"),
+            F.col("n").eqNullSafe(F.col("m")).alias("symmetric"),
+        )
+    )
 
 
 def _grid(spark, folder) -> DataFrame:
@@ -326,12 +366,26 @@ def _grid(spark, folder) -> DataFrame:
 
 @query
 def als_grid_rmse(spark, folder):
-    return _grid(spark, folder)
+    finite = F.coalesce(F.col("rmse") < float("inf"), F.lit(False)).alias("finite")
+    return _grid(spark, folder).select("rank", "lambda", "n", finite)
 
 
 @query
 def als_grid_best(spark, folder):
-    return fm.best_cell(_grid(spark, folder))
+    """Whether the best setting is one of the grid's rows and none of them has a smaller error."""
+    grid = staged(_grid(spark, folder), "als-grid")
+    best = fm.best_cell(grid).select(F.struct("rank", "lambda", "rmse").alias("best"))
+    rows = grid.agg(
+        F.min("rmse").alias("least"), F.collect_set(F.struct("rank", "lambda", "rmse")).alias("cells")
+    )
+    one = F.lit(1).alias("one")
+    return (
+        best.withColumn("one", one).join(rows.withColumn("one", one), "one")
+        .select(
+            (F.col("best.rmse") == F.col("least")).alias("isLeast"),
+            F.array_contains("cells", F.col("best")).alias("inGrid"),
+        )
+    )
 
 
 # Real time
@@ -402,10 +456,11 @@ def stream_recent_ratings(spark, folder):
 def _stream_lists(spark, folder) -> DataFrame:
     rated = streams.ratings_from_lines(_log_stream(spark, folder))
     target = scratch_path(spark, "StreamRecs")
+    similar = _similar(spark, folder)
     _finished(
         streams.keep_stream_recs(
             rated,
-            _similar(spark, folder),
+            lambda: similar,
             target,
             scratch_path(spark, "stream"),
             available_now=True,
@@ -488,6 +543,20 @@ def serve_user_recs(spark, folder):
     return _shown(found, "userId", "rank")
 
 
+@query
+def serve_rec_products(spark, folder):
+    """The details of listed products, in the order of a user's stored list, looked up by its key."""
+    tables = jobs.Tables(spark, scratch_path(spark, "serve"))
+    stored = lists.nested(_user_lists(spark, folder), "userId", "productId")
+    tables.write(C.USER_RECS, stored)
+    _, items, means = _shop(spark, folder)
+    found = jobs.stored_user_lists(tables)
+    keys = _customers(spark, folder)
+    return _shown(
+        serving.listed_products(keys, found, items, means, "userId", SHOWN), "userId", "rank"
+    )
+
+
 @query
 def serve_stream_recs(spark, folder):
     rated, items, means = _shop(spark, folder)
