@@ -16,12 +16,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm.common import map_text, strings
 
+# Attributes as HTML reads them: a quote opens a string only right after "="; elsewhere it is an
+# ordinary character. So is one whose string never ends, lest it take the rest of the page.
+_VALUE = r""""([^"]*+)"|'([^']*+)'|([^\s>]*+)"""
+_ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:{_VALUE}))?+")
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+    r"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+)*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/"'>]+)""")
 _SPACE = re.compile(r"\s+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -84,8 +87,7 @@ class Node:
 def attributes(text: str) -> dict[str, str]:
     found = {}
     for m in _ATTRIBUTE.finditer(text):
-        name = (m[1] or m[5]).lower()
-        found.setdefault(name, references.unescape(m[2] or m[3] or m[4] or ""))
+        found.setdefault(m[1].lower(), references.unescape(m[2] or m[3] or m[4] or ""))
     return found
 
 
