@@ -58,13 +58,33 @@ INLINE = frozenset(
 )
 
 # Words in class, id or role that tell what an element is for.
-_BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|adsense|banner|breadcrumbs?|byline-share|combx|comments?|"
+_WORDS = (
+    r"ad|ads|advert\w*|adbox|adsense|banner|breadcrumbs?|byline-share|combx|comments?|"
     r"commentlist|contentinfo|cookies?|consent|disqus|foot|footer|gdpr|header|legal|masthead|menu|"
     r"modal|nav|navbar|navigation|newsletter|notice|outbrain|pager|pagination|popup|promo\w*|"
     r"related\w*|replies|reply|respond|rss|share|sharing|shoutbox|sidebar\w*|skyscraper|social|"
     r"sponsor\w*|subscribe|taboola|toolbar|widgets?|complementary|dialog|alert|search|"
-    r"signup|login|remark\w*)(?:$|[\s_-])|sidebar|comment|cookie|advert|newsletter",
+    r"signup|login|remark\w*"
+)
+_BOILERPLATE = re.compile(
+    rf"(?<![^\s_-])(?:{_WORDS})(?![^\s_-])|sidebar|comment|cookie|advert|newsletter", re.I
+)
+_EXACT = re.compile(rf"(?<!\S)(?:{_WORDS})(?!\S)", re.I)
+# Readers' words, adverts and consents, which may well be longer than the text of the page.
+_FOREIGN = re.compile(
+    r"(?<![^\s_-])(?:ads?|adbox|adsense|\w*advert\w*|\w*comment(?!ar)\w*|\w*cookies?|consent|gdpr|disqus|"
+    r"outbrain|taboola|replies|reply|respond|sponsor\w*)(?![^\s_-])",
+    re.I,
+)
+# Parts of a class that tell what is in or beside an element, or what a post is about.
+_MODIFIER = re.compile(
+    r"(?<![^\s_-])(?:(?:has|no|with|without|category|tag)[_-]\S+"
+    r"|comments?[_-](?:open|closed|enabled|disabled|off)(?!\S))",
+    re.I,
+)
+_SAYS_CONTENT = re.compile(
+    r"(?<![^\s_-])(?:article|content|main|post|entry|story"
+    r"|(?:article|main|post|entry|story)(?:content|body|text))(?![^\s_-])",
     re.I,
 )
 _CONTENT = re.compile(r"(?:^|[\s_-])(?:article|content|main|body|entry|post|story|text|column)(?:$|[\s_-])", re.I)
@@ -73,6 +93,10 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 # A sibling is kept with this share of the best score, at least this many points.
 SIBLING_SHARE, SIBLING_POINTS = 0.2, 2.0
 PARAGRAPH_CHARS = 25
+# An element named as boilerplate that holds more of the page's points is a wrapper of its text; the
+# second share is for those that have such a name for themselves or stand in an article, and for
+# names of several elements.
+WRAPPER_SHARE, SURE_SHARE = 0.5, 0.8
 
 
 class Node:
@@ -160,7 +184,8 @@ def tree(page: str) -> Node:
     return root
 
 
-def _boilerplate(node: Node) -> bool:
+def _boilerplate(node: Node) -> bool | str:
+    """True for what is never main text; else the element's names if they say boilerplate."""
     if node.tag == "header" and node.parent.tag in ("article", "main", "section"):
         # It holds the headline, unless it says that it belongs to the site.
         return bool(re.search("masthead|site|nav|banner|menu|top", node.attributes, re.I))
@@ -176,16 +201,95 @@ def _boilerplate(node: Node) -> bool:
     if node.tag in ("article", "main"):
         return bool(re.search("comment|reply", f"{found.get('class', '')} {found.get('id', '')}", re.I))
     said = " ".join(found.get(k, "") for k in ("class", "id", "role"))
-    return bool(_BOILERPLATE.search(said))
+    if not _BOILERPLATE.search(said):
+        return False
+    said = _MODIFIER.sub("", said)
+    return said if _BOILERPLATE.search(said) else False
 
 
 def prune(root: Node) -> None:
-    """Takes out what is never main text: menus, forms, adverts, scripts and the like."""
+    """Takes out what is never main text: menus, forms, adverts, scripts and the like.
+
+    An element that is only named so stays if it also says that it is content, or wraps the main
+    element, the longest article or most of the page's paragraphs.
+    """
+    named: dict[int, str] = {}
     pending = [root]
     while pending:
         node = pending.pop()
-        node.children = [c for c in node.children if isinstance(c, str) or not _boilerplate(c)]
-        pending += [c for c in node.children if not isinstance(c, str)]
+        kept = []
+        for c in node.children:
+            if isinstance(c, str):
+                kept.append(c)
+            elif (says := _boilerplate(c)) is not True:
+                kept.append(c)
+                pending.append(c)
+                if says:
+                    named[id(c)] = says
+        node.children = kept
+    if named:
+        spared = _spared(_ordered(root), named)
+        pending = [root]
+        while pending:
+            node = pending.pop()
+            node.children = [
+                c for c in node.children if isinstance(c, str) or id(c) not in named or id(c) in spared
+            ]
+            pending += [c for c in node.children if not isinstance(c, str)]
+
+
+def _spared(nodes: list[Node], named: dict[int, str]) -> set[int]:
+    """Those of the named elements that hold the text of the page."""
+    _measure(nodes)
+    spared = set()
+    texts = [n for n in nodes if n.tag == "main" and n.size]
+    texts += sorted((n for n in nodes if n.tag == "article"), key=lambda n: -n.size)[:1]
+    for node in texts:
+        while node is not None and id(node) not in spared:
+            spared.add(id(node))
+            node = node.parent
+    foreign = {i for i, said in named.items() if i not in spared and _FOREIGN.search(said)}
+    for i, said in named.items():
+        if i not in foreign and not _EXACT.search(said) and any(
+            _SAYS_CONTENT.search(x) and not _BOILERPLATE.search(x) for x in said.split()
+        ):
+            spared.add(i)
+    points = {id(n): _points(n) for n in nodes}
+    held = _held(nodes, points, foreign)
+    if not held[id(nodes[0])]:
+        # Nothing is left without them.
+        foreign = set()
+        held = _held(nodes, points, foreign)
+    total = held[id(nodes[0])]
+    within: set[int] = set()
+    for node in nodes:
+        if node.tag == "article" or id(node.parent) in within:
+            within.add(id(node))
+    for i, said in named.items():
+        share = SURE_SHARE if i in within or _EXACT.search(said) else WRAPPER_SHARE
+        if i not in foreign and held[i] > share * total:
+            spared.add(i)
+    # A word that would take out most of the page in pieces tells nothing on this page.
+    taken: dict[str, float] = {}
+    over: dict[int, frozenset] = {}
+    words = {
+        i: frozenset(m[0].lower() for m in _BOILERPLATE.finditer(said))
+        for i, said in named.items() if i not in spared and i not in foreign and not _EXACT.search(said)
+    }
+    if words:
+        outside = {id(nodes[0])}
+        for node in nodes:
+            i, up = id(node), id(node.parent)
+            if node.parent is not None and (up not in outside or i in foreign):
+                continue
+            outside.add(i)
+            over[i] = over.get(up, frozenset()) | words.get(i, frozenset())
+            for word in over[i]:
+                taken[word] = taken.get(word, 0.0) + points[i]
+        spared.update(
+            i for i, all_of in words.items() if all(taken.get(w, 0.0) > SURE_SHARE * total for w in all_of)
+        )
+    return spared
 
 
 def _ordered(root: Node) -> list[Node]:
@@ -201,6 +305,7 @@ def _ordered(root: Node) -> list[Node]:
 def _measure(nodes: list[Node]) -> None:
     """Sizes of text and of linked text of every node."""
     for node in reversed(nodes):
+        node.size = node.linked = 0
         for c in node.children:
             if isinstance(c, str):
                 node.size += len(_SPACE.sub(" ", c).strip())
@@ -213,6 +318,35 @@ def link_density(node: Node) -> float:
     return node.linked / node.size if node.size else 0.0
 
 
+def _is_paragraph(node: Node) -> bool:
+    return node.tag in PARAGRAPHS and not any(
+        not isinstance(c, str) and c.tag in BLOCKS for c in node.children
+    )
+
+
+def _points(node: Node) -> float:
+    """The points of a paragraph, or of the text that stands in a container without one."""
+    if _is_paragraph(node):
+        size, commas = node.size, _commas(node)
+    elif node.tag in ("div", "section", "article", "main", "body", "#root"):
+        own = [c for c in node.children if isinstance(c, str)]
+        size, commas = sum(len(x.strip()) for x in own), sum(x.count(",") for x in own)
+    else:
+        return 0.0
+    if size < PARAGRAPH_CHARS:
+        return 0.0
+    return (1 + commas + min(size / 100, 3)) * (1 - link_density(node))
+
+
+def _held(nodes: list[Node], points: dict[int, float], without: set[int]) -> dict[int, float]:
+    """The points inside every node, less those of nodes of ``without`` further down."""
+    held = dict(points)
+    for node in reversed(nodes):
+        if node.parent is not None and id(node) not in without:
+            held[id(node.parent)] += held[id(node)]
+    return held
+
+
 def _score(nodes: list[Node]) -> None:
     for node in nodes:
         if node.tag == "article":
@@ -222,20 +356,10 @@ def _score(nodes: list[Node]) -> None:
         ):
             node.score += 5
     for node in nodes:
-        own = [c for c in node.children if isinstance(c, str)]
-        loose = node.tag in ("div", "section", "article", "main", "body", "#root")
-        if node.tag in PARAGRAPHS and not any(
-            not isinstance(c, str) and c.tag in BLOCKS for c in node.children
-        ):
-            size, up = node.size, node.parent
-            commas = _commas(node)
-        elif loose and (size := sum(len(x.strip()) for x in own)):
-            up, commas = node, sum(x.count(",") for x in own)
-        else:
-            continue
-        if size < PARAGRAPH_CHARS:
+        points = _points(node)
+        if not points:
             continue
-        points = (1 + commas + min(size / 100, 3)) * (1 - link_density(node))
+        up = node.parent if _is_paragraph(node) else node
         share = 1.0
         for level in range(1, 4):
             if up is None:

@@ -40,6 +40,37 @@ def test_what_stands_around_is_left_out(box, side):
     assert extract.main_text(inside) == READ
 
 
+@pytest.mark.parametrize("names", [
+    'class="content has-sidebar"', "class=content-sidebar-wrap", 'class="post no-comments"', "class=page-with-comments",
+    'class="page-header-fixed search-page"', "id=newsletterArchive", 'class="site comments-open"', "class=commentary",
+    'class="post category-newsletter"',
+])
+@pytest.mark.parametrize("side", AROUND)
+def test_wrappers_with_other_names_stay(names, side):
+    for inner in ("article", "main", "div", "section"):
+        page = f"<body>{side}<div {names}><{inner}>{ARTICLE}</{inner}>{side}</div></body>"
+        assert extract.main_text(page) == READ
+    assert extract.main_text(f"<body>{side}<div {names}>{ARTICLE}{side}</div>{side}</body>") == READ
+
+
+def test_wrappers_beside_longer_boilerplate():
+    comments = f"<div id=comments>{ARTICLE * 20}</div>"
+    sidebar = f"<div class=sidebar>{ARTICLE * 2}</div>"
+    for text in (f"<div class=search-page><article>{ARTICLE}</article></div>", f"<div class=search-page>{ARTICLE}</div>"):
+        assert extract.main_text(f"<body>{text}{comments}</body>") == READ
+    for text in (f"<div class='post sidebar-right'>{ARTICLE}</div>", f"<div>{ARTICLE}</div>"):
+        assert extract.main_text(f"<body>{text}{comments}{sidebar}</body>") == READ
+    cards = "".join(f"<article><p>A card, of some length, with the number {i}.</p></article>" for i in range(4))
+    page = f"<body><article>{ARTICLE}<div class=related-posts>{cards}</div></article></body>"
+    assert extract.main_text(page) == READ
+
+
+def test_a_name_of_all_pieces_of_the_text():
+    piece = "<div class=elementor-widget><div class=elementor-widget-container>{}</div></div>"
+    pieces = "".join(piece.format(ARTICLE) for _ in range(4))
+    assert extract.main_text(f"<body><div>{pieces}</div></body>") == "\n".join([READ] * 4)
+
+
 def test_blocks_and_references():
     page = (
         "<body><article><header><h1>Head&amp;line</h1></header><p>One <b>bold</b>&nbsp;word,\n\n and"
