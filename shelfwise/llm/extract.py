@@ -1,9 +1,9 @@
 """Main text of web pages by tree scoring.
 
-Paragraphs pass points to the elements around them, for their length and their commas: all of them
-to the parent, half to the grandparent, less to those above. An element's points are discounted by
-the share of its text that is in links. The best container and those of its siblings that also
-score are kept.
+Paragraphs pass points to all elements around them, for their length and their commas: all of them
+to the parent, half to the grandparent, half of that to each one above. An element's points are
+discounted by the share of its text that is in links. From the best container the choice goes up to
+the element that holds all parts of the text. It and those of its siblings that also score are kept.
 """
 
 from __future__ import annotations
@@ -93,6 +93,8 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 # A sibling is kept with this share of the best score, at least this many points.
 SIBLING_SHARE, SIBLING_POINTS = 0.2, 2.0
 PARAGRAPH_CHARS = 25
+# A block with this share of its text in links is no part of the text.
+LINKED_SHARE = 0.5
 # An element named as boilerplate that holds more of the page's points is a wrapper of its text; the
 # second share is for those that have such a name for themselves or stand in an article, and for
 # names of several elements.
@@ -347,7 +349,8 @@ def _held(nodes: list[Node], points: dict[int, float], without: set[int]) -> dic
     return held
 
 
-def _score(nodes: list[Node]) -> None:
+def _score(nodes: list[Node]) -> dict[int, float]:
+    """Scores all nodes; gives the points of all paragraphs inside each."""
     for node in nodes:
         if node.tag == "article":
             node.score += 10
@@ -355,19 +358,65 @@ def _score(nodes: list[Node]) -> None:
             " ".join(attributes(node.attributes).get(k, "") for k in ("class", "id"))
         ):
             node.score += 5
-    for node in nodes:
-        points = _points(node)
-        if not points:
-            continue
-        up = node.parent if _is_paragraph(node) else node
-        share = 1.0
-        for level in range(1, 4):
-            if up is None:
-                break
-            up.score += points * share
-            up, share = up.parent, 1 / (2 * level)
+    points = {id(n): _points(n) for n in nodes}
+    passed = dict.fromkeys(points, 0.0)
+    for node in reversed(nodes):
+        own, up = points[id(node)], node.parent
+        if own and not _is_paragraph(node):
+            passed[id(node)] += own
+        node.score += passed[id(node)]
+        if up is not None:
+            passed[id(up)] += passed[id(node)] / 2
+            if own and _is_paragraph(node):
+                passed[id(up)] += own
     for node in nodes:
         node.score *= 1 - link_density(node)
+    return _held(nodes, points, set())
+
+
+def _widened(best: Node, held: dict[int, float]) -> Node:
+    """The highest element around the best one whose other parts hold a fair share of the points.
+
+    In the main element, and beside parts of the same kind (sections, or equal attributes), any
+    share is fair. Parts that are mostly links are taken out of it.
+    """
+    top, inside, node = best, held[id(best)], best
+    levels = []
+    main = best.parent
+    while main is not None and main.tag != "main":
+        main = main.parent
+    while node.parent is not None:
+        up = node.parent
+        levels.append((node, up))
+        others = held[id(up)] - held[id(node)]
+        linked = sum(held[id(c)] for c in up.children if c is not node and _is_links(c))
+        fair = main is not None or others - linked >= SIBLING_SHARE * inside or any(
+            _alike(node, c) and held[id(c)] >= SIBLING_POINTS and not _is_links(c) for c in up.children
+        )
+        if others - linked > 1e-6 and fair:
+            top = up
+            for child, parent in levels:
+                parent.children = [c for c in parent.children if c is child or not _is_links(c)]
+            levels.clear()
+            inside += others - linked
+        if up is main:
+            main = None
+        node = up
+    top.score = max(top.score, best.score)
+    return top
+
+
+def _alike(node: Node, other) -> bool:
+    return other is not node and not isinstance(other, str) and other.tag == node.tag and (
+        node.tag == "section" or bool(node.attributes) and other.attributes == node.attributes
+    )
+
+
+def _is_links(node) -> bool:
+    return (
+        not isinstance(node, str) and node.tag in BLOCKS and node.tag not in HEADINGS
+        and link_density(node) >= LINKED_SHARE
+    )
 
 
 def _commas(node: Node) -> int:
@@ -425,7 +474,7 @@ def main_text(page: str) -> str:
     prune(root)
     nodes = _ordered(root)
     _measure(nodes)
-    _score(nodes)
+    held = _score(nodes)
     articles = [n for n in nodes if n.tag == "article" and n.size]
     places = {id(n): i for i, n in enumerate(nodes)}
     best = max(
@@ -441,6 +490,8 @@ def main_text(page: str) -> str:
         while up is not None and up.tag != "article":
             up = up.parent
         best = up or best
+    if best.tag != "article":
+        best = _widened(best, held)
     roots = [best]
     if best.parent is not None and best.tag != "article":
         roots = [c for c in best.parent.children if _joins(best, c)]

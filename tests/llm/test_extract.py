@@ -71,6 +71,28 @@ def test_a_name_of_all_pieces_of_the_text():
     assert extract.main_text(f"<body><div>{pieces}</div></body>") == "\n".join([READ] * 4)
 
 
+@pytest.mark.parametrize("outer", ["main", "div", "section"])
+@pytest.mark.parametrize("around, ended", [
+    ("<section><div>", "</div></section>"), ("<div><div><div>", "</div></div></div>"),
+    ("<div>" * 12, "</div>" * 12), ("<section><h2>Part</h2><div><div>", "</div></div></section>"),
+])
+@pytest.mark.parametrize("sizes", [(20, 20, 20), (2, 1, 3), (9, 4, 1, 1, 1), (1, 9)])
+def test_nested_sections_without_article(outer, around, ended, sizes):
+    if sizes == (1, 9):
+        # A small part counts in the main element and among parts of one kind.
+        around = around if outer == "main" else around.replace("<div", "<div class=part", 1)
+    links = "<div><div>" + "".join(f"<p><a href=/{i}>Another page, of some length</a></p>" for i in range(20)) + "</div></div>"
+    parts = "".join(around + ARTICLE * n + ended for n in sizes)
+    heading = "Part\n" if "h2" in around else ""
+    want = "\n".join(heading + "\n".join([READ] * n) for n in sizes)
+    side = "".join(AROUND)
+    for page in (
+        f"<body>{side}<{outer}>{parts}</{outer}>{side}{links}",
+        f"<body><div><{outer}>{side}{parts}{links}</{outer}></div>",
+    ):
+        assert extract.main_text(page) == want
+
+
 def test_blocks_and_references():
     page = (
         "<body><article><header><h1>Head&amp;line</h1></header><p>One <b>bold</b>&nbsp;word,\n\n and"
@@ -124,6 +146,11 @@ def test_deep_and_long_pages():
     assert text == "\n".join([READ] * 5000)
 
 
+def test_many_nested_paragraphs_take_linear_time():
+    page = "<body>" + "".join(f"<div>{ARTICLE}" for _ in range(4000))
+    assert extract.main_text(page) == "\n".join([READ] * 4000)
+
+
 def test_rows(spark):
     frame = spark.createDataFrame(
         [(1, None, None, 1, "x"), (None, "u", f"<article>{ARTICLE}", 1, "x"), (2, "u", "", 1, "x"), (2, "u", "", 1, "x")],
