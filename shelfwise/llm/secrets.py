@@ -23,12 +23,19 @@ HEX = "[0-9a-f]{16,}"
 
 WINDOW = 20
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
-# Candidates in which one of these is found are known not to be secrets.
+# Candidates in which one of these is found are known, at least in part, not to be secrets.
 ALLOWED = (
     "[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
     "(?i)example|dummy|placeholder|changeme",
     "(^|[^a-z])[a-z]{3,}[/_-][a-z]{3,}[/_-][a-z]{3,}[/_-]",
 )
+# What is known in such a candidate, to the ends of its words and of its path; the rest of the
+# candidate is judged alone.
+KNOWN = "|".join((
+    ALLOWED[0],
+    "[A-Za-z0-9+]*(?i:example|dummy|placeholder|changeme)[A-Za-z0-9+]*",
+    "(^|[^a-z])([a-z]{3,}[/_-]){3,}",
+))
 
 
 @dataclass(frozen=True)
@@ -118,18 +125,44 @@ def window_entropy(value: Column, window: int = WINDOW) -> Column:
     return F.when(F.length(value) >= window, F.round(bits, 9))
 
 
+def _unknown(row: Column) -> Column:
+    """The parts of an allow-listed candidate that the allow-list does not know."""
+    word = row["word"]
+    rows = F.arrays_zip(
+        F.split(word, KNOWN, -1).alias("gap"), F.regexp_extract_all(word, F.lit(KNOWN), F.lit(0)).alias("known")
+    )
+
+    def step(state, part):
+        start = state["at"]
+        end = start + F.length(part["gap"])
+        found = F.struct(start.alias("start"), end.alias("end"), part["gap"].alias("word"))
+        long = F.length(part["gap"]) >= WINDOW
+        return F.struct(
+            (end + F.coalesce(F.length(part["known"]), F.lit(0))).alias("at"),
+            F.when(long, F.array_append(state["parts"], found)).otherwise(state["parts"]).alias("parts"),
+        )
+
+    nothing = F.array().cast("array<struct<start:int,end:int,word:string>>")
+    return F.aggregate(
+        rows, F.struct(row["start"].alias("at"), nothing.alias("parts")), step, lambda s: s["parts"]
+    )
+
+
 def _entropy_spans(text: Column, candidates: Column, base: Column) -> Column:
-    """Candidates of high entropy for their class that no base span covers and that are not
-    allow-listed."""
+    """Candidates, or the parts of them that are not allow-listed, of high entropy for their class
+    that no base span covers."""
 
     def worded(span):
         word = F.substring(text, span["start"] + 1, span["end"] - span["start"])
         return F.struct(span["start"].alias("start"), span["end"].alias("end"), word.alias("word"))
 
+    def parts(row):
+        allowed = reduce(Column.__or__, [row["word"].rlike(p) for p in ALLOWED])
+        return F.when(allowed, _unknown(row)).otherwise(F.array(row))
+
     def wanted(row):
         covered = F.exists(base, lambda b: (b["start"] <= row["start"]) & (b["end"] >= row["end"]))
-        allowed = reduce(Column.__or__, [row["word"].rlike(p) for p in ALLOWED])
-        return row["word"].rlike("[0-9]") & ~covered & ~allowed
+        return row["word"].rlike("[0-9]") & ~covered
 
     def scored(row):
         bits = window_entropy(row["word"])
@@ -142,7 +175,9 @@ def _entropy_spans(text: Column, candidates: Column, base: Column) -> Column:
             rank = F.when(fits & (row["bits"] >= c.bits), F.lit(KINDS.index(c.kind))).otherwise(rank)
         return F.struct(row["start"].alias("start"), rank.alias("rank"), row["end"].alias("end"))
 
-    words = F.filter(F.transform(candidates, worded), wanted)
+    # A candidate that is not wanted has no wanted parts.
+    whole = F.filter(F.transform(candidates, worded), wanted)
+    words = F.filter(F.flatten(F.transform(whole, parts)), wanted)
     found = F.transform(F.transform(words, scored), ranked)
     return F.filter(found, lambda s: s["rank"].isNotNull())
 
@@ -179,7 +214,7 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
 
     Assignments need a value of 12 characters, access keys 18, hexadecimal runs 16. Further spans
     are runs of 20 or more characters of base64 with a window of high entropy, unless a pattern
-    covers them or the allow-list knows them. Null and empty texts have no spans; repeated rows are
+    covers them; of a run with something the allow-list knows, the rest is judged. Null and empty texts have no spans; repeated rows are
     scanned each; other columns are not read. Long texts cost time in proportion to their length,
     and to the square of the number of their secrets.
     """
