@@ -68,6 +68,17 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def unlike(names: list[str]) -> list[str]:
+    """The names, where one that an earlier one has gets underscores."""
+    taken, out = set(), []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def write_file(folder: str, name: str, data: bytes) -> str:
     """Writes a file into a folder named by a path or URI, whole or not at all; gives its URI.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm import (
-    decontaminate, extract, packing, quality, rules, secrets, simhash, toxicity, warc, wavelet,
+    conversations, decontaminate, extract, packing, quality, rules, search, secrets, simhash,
+    toxicity, warc, wavelet,
 )
 from shelfwise.llm.common import table
 
@@ -72,6 +73,15 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    faulty = conversations.damaged(table(spark, folder, "conversations"))
+    return conversations.repair(faulty, present="present")
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
@@ -83,9 +93,139 @@ QUERIES = {
     "op8_tokens": op8_tokens,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
+    "op12_conversations": op12_conversations,
+    "op13_search": op13_search,
 }
 
+
+_LINE = "{{'c': {0}.c + {1}, 'a': '{2}' || {0}.a, 't': list_prepend({3}, {0}.t)}}"
+
+
+def _least(*options: str) -> str:
+    return f"list_min(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))"
+
+
+def _put_in(vector: str) -> str:
+    """Each state's best with an inserted turn in front allowed; states are v0 to v3."""
+    after = ((2, "user"), (2, "user"), (3, "assistant"), (2, "user"))
+    return ", ".join(
+        _least(f"{vector}{q}", _LINE.format(f"{vector}{n}", 3, "I", f"'{role}:'")) + f" AS v{q}"
+        for q, (n, role) in enumerate(after)
+    )
+
+
+def _used_up(q: int) -> str:
+    """The best of state ``q`` that uses up row ``r``, from the states v0 to v3 after it."""
+    kept = {0: (("s", 1), ("u", 2)), 1: (("u", 2),), 2: (("a", 3),), 3: (("u", 2),)}[q]
+    fitted, role = ((2, "user"), (2, "user"), (3, "assistant"), (2, "user"))[q]
+    own, made = "r.role || ':' || r.text", f"'{role}:' || r.text"
+    options = [f"{{'c': v{q}.c + 4, 'a': 'D' || v{q}.a, 't': v{q}.t}}"]
+    options += [
+        f"CASE WHEN fault NOT IN (1, 2) AND r.initial = '{i}' THEN "
+        + _LINE.format(f"v{n}", "CASE fault WHEN 3 THEN 3 ELSE 0 END", "K", own) + " END"
+        for i, n in kept
+    ]
+    options.append(
+        "CASE WHEN fault NOT IN (1, 2) THEN "
+        + _LINE.format(f"v{fitted}", "CASE fault WHEN 3 THEN 6 ELSE 3 END", "R", made) + " END"
+    )
+    return _least(*options)
+
+
+_END = "{'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}"
+_FAR = "{'c': CAST(1000 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}"
+
 ORACLES = {
+    "op12_conversations": rf"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations
+), lot AS (
+  SELECT *, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(
+      range(8 * length(k)),
+      lambda i: CAST((ascii(substr(k, CAST(i // 8 + 1 AS INT), 1)) >> CAST(i % 8 AS INT)) & 1 AS BIGINT))),
+    lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384))) % 20 AS lot
+  FROM src
+), hurt AS (
+  SELECT conv_id, turn, CASE lot WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE lot WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE lot WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM lot WHERE lot <> 0
+), placed AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, CAST('0x' || substr(md5(role || ':' || text), 1, 15) AS BIGINT), copy
+    ) AS i, substr(role, 1, 1) AS initial
+  FROM hurt
+), judged AS (
+  SELECT *, CASE
+      WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS former
+  FROM placed
+), counted AS (
+  SELECT conv_id, max(i) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (former IS NOT NULL AND former || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), step AS (
+  SELECT conv_id, n AS i, {_put_in("v")} FROM (
+    SELECT conv_id, n, {_put_in("v")} FROM (
+      SELECT conv_id, n, {_END} AS v0, {_FAR} AS v1, {_FAR} AS v2, {_END} AS v3 FROM counted
+    )
+  )
+  UNION ALL
+  SELECT conv_id, i, {_put_in("v")} FROM (
+    SELECT conv_id, i, {_put_in("v")} FROM (
+      SELECT s.conv_id, s.i - 1 AS i, {_used_up(0)} AS v0, {_used_up(1)} AS v1,
+             {_used_up(2)} AS v2, {_used_up(3)} AS v3
+      FROM step s JOIN judged r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i
+    )
+  )
+), best AS (SELECT conv_id, v0 FROM step WHERE i = 0)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps,
+       CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+       CAST(coalesce(v0.c, 0) AS BIGINT) AS cost, coalesce(v0.a, '') AS audit,
+       sha256(coalesce(array_to_string(v0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counted c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+""",
+    "op13_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), held AS (SELECT r, doc_id, len(w) AS n, w FROM d WHERE len(w) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM held),
+tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM held) GROUP BY r, term
+), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+item AS (
+  SELECT DISTINCT i, item_id, unnest(w) AS term FROM (
+    SELECT row_number() OVER () AS i, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM benchmark)
+), weighed AS (
+  SELECT i, item_id, term,
+         CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM item JOIN df USING (term), total
+), scored AS (
+  SELECT i, item_id, r, doc_id,
+         CAST(sum(weighed.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // length)))) AS BIGINT) AS score
+  FROM weighed JOIN tf USING (term) JOIN held USING (r), total GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
     "op3_warc": """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS h
