@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm import (
-    conversations, decontaminate, extract, packing, quality, rules, search, secrets, simhash,
+    conversations, decontaminate, extract, jaccard, packing, quality, rules, search, secrets, simhash,
     toxicity, warc, wavelet,
 )
 from shelfwise.llm.common import table
@@ -73,6 +73,10 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near(table(spark, folder, "documents"))
+
+
 def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
     faulty = conversations.damaged(table(spark, folder, "conversations"))
     return conversations.repair(faulty, present="present")
@@ -93,6 +97,7 @@ QUERIES = {
     "op8_tokens": op8_tokens,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
+    "op11_jaccard": op11_jaccard,
     "op12_conversations": op12_conversations,
     "op13_search": op13_search,
 }
@@ -136,6 +141,35 @@ _END = "{'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}"
 _FAR = "{'c': CAST(1000 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}"
 
 ORACLES = {
+    "op11_jaccard": r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT r, doc_id, list_sort(list_distinct(CASE
+      WHEN w IS NULL OR len(w) = 0 THEN []
+      WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1),
+                          lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s
+  FROM d
+), class AS (
+  SELECT s, md5(array_to_string(s, chr(10))) AS h, min(doc_id) AS least FROM s WHERE len(s) > 0 GROUP BY s
+), shingle AS (SELECT h, len(s) AS n, unnest(s) AS x FROM class),
+pair AS (
+  SELECT a.h AS a, b.h AS b
+  FROM shingle a JOIN shingle b ON a.x = b.x AND a.h <> b.h AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+  GROUP BY a.h, b.h, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT h AS a, h AS b FROM class
+  UNION
+  SELECT reach.a, pair.b FROM reach JOIN pair ON reach.b = pair.a
+), root AS (SELECT a AS h, min(least) AS component_id FROM reach JOIN class ON b = h GROUP BY a)
+SELECT doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
+       CASE WHEN len(s.s) = 0 THEN doc_id ELSE component_id END AS component_id
+FROM s LEFT JOIN class ON s.s = class.s LEFT JOIN root USING (h)
+""",
     "op12_conversations": rf"""
 WITH RECURSIVE src AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
