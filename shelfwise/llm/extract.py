@@ -38,8 +38,8 @@ BLOCKS = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd".split())
 DROPPED = frozenset(
-    "head nav header footer aside form script style noscript template iframe object button select"
-    " textarea input svg canvas title menu dialog noframes label option".split()
+    "head nav header footer aside script style noscript template iframe object button select"
+    " textarea input svg canvas title menu dialog noframes option".split()
 )
 # A start tag of the key ends an open element of the values, up to the nearest of the fences.
 CLOSES = {
@@ -57,6 +57,11 @@ INLINE = frozenset(
     " sub sup tt u var time".split()
 )
 
+# Left out like elements with a name of boilerplate, but a page may stand in a form as a whole. Such
+# a form has more points than an invitation to fill it in.
+FORMS = frozenset(["form", "label"])
+FORM_NAME, FORM_POINTS = "signup", 5.0
+
 # Words in class, id or role that tell what an element is for.
 _WORDS = (
     r"ad|ads|advert\w*|adbox|adsense|banner|breadcrumbs?|byline-share|combx|comments?|"
@@ -102,12 +107,12 @@ WRAPPER_SHARE, SURE_SHARE = 0.5, 0.8
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parent", "children", "score", "size", "linked")
+    __slots__ = ("tag", "attributes", "parent", "children", "score", "size", "linked", "commas")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list = []
-        self.score, self.size, self.linked = 0.0, 0, 0
+        self.score, self.size, self.linked, self.commas = 0.0, 0, 0, 0
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -194,7 +199,7 @@ def _boilerplate(node: Node) -> bool | str:
     if node.tag in DROPPED:
         return True
     if not node.attributes or node.tag in ("html", "body"):
-        return False
+        return FORM_NAME if node.tag in FORMS else False
     found = attributes(node.attributes)
     if "hidden" in found or found.get("aria-hidden") == "true":
         return True
@@ -203,6 +208,8 @@ def _boilerplate(node: Node) -> bool | str:
     if node.tag in ("article", "main"):
         return bool(re.search("comment|reply", f"{found.get('class', '')} {found.get('id', '')}", re.I))
     said = " ".join(found.get(k, "") for k in ("class", "id", "role"))
+    if node.tag in FORMS:
+        return f"{FORM_NAME} {said}"
     if not _BOILERPLATE.search(said):
         return False
     said = _MODIFIER.sub("", said)
@@ -213,7 +220,7 @@ def prune(root: Node) -> None:
     """Takes out what is never main text: menus, forms, adverts, scripts and the like.
 
     An element that is only named so stays if it also says that it is content, or wraps the main
-    element, the longest article or most of the page's paragraphs.
+    element, the longest article or most of the page's paragraphs. So does a form around the page.
     """
     named: dict[int, str] = {}
     pending = [root]
@@ -264,12 +271,15 @@ def _spared(nodes: list[Node], named: dict[int, str]) -> set[int]:
         held = _held(nodes, points, foreign)
     total = held[id(nodes[0])]
     within: set[int] = set()
+    forms = {id(n) for n in nodes if n.tag in FORMS}
     for node in nodes:
         if node.tag == "article" or id(node.parent) in within:
             within.add(id(node))
     for i, said in named.items():
         share = SURE_SHARE if i in within or _EXACT.search(said) else WRAPPER_SHARE
-        if i not in foreign and held[i] > share * total:
+        if i not in foreign and held[i] > share * total and (
+            i not in forms or held[i] >= FORM_POINTS
+        ):
             spared.add(i)
     # A word that would take out most of the page in pieces tells nothing on this page.
     taken: dict[str, float] = {}
@@ -305,14 +315,16 @@ def _ordered(root: Node) -> list[Node]:
 
 
 def _measure(nodes: list[Node]) -> None:
-    """Sizes of text and of linked text of every node."""
+    """Sizes of text and of linked text, and commas, of every node."""
     for node in reversed(nodes):
-        node.size = node.linked = 0
+        node.size = node.linked = node.commas = 0
         for c in node.children:
             if isinstance(c, str):
                 node.size += len(_SPACE.sub(" ", c).strip())
+                node.commas += c.count(",")
             else:
                 node.size += c.size
+                node.commas += c.commas
                 node.linked += c.size if c.tag == "a" else c.linked
 
 
@@ -329,8 +341,8 @@ def _is_paragraph(node: Node) -> bool:
 def _points(node: Node) -> float:
     """The points of a paragraph, or of the text that stands in a container without one."""
     if _is_paragraph(node):
-        size, commas = node.size, _commas(node)
-    elif node.tag in ("div", "section", "article", "main", "body", "#root"):
+        size, commas = node.size, node.commas
+    elif node.tag in ("div", "section", "article", "main", "body", "form", "#root"):
         own = [c for c in node.children if isinstance(c, str)]
         size, commas = sum(len(x.strip()) for x in own), sum(x.count(",") for x in own)
     else:
@@ -419,12 +431,6 @@ def _is_links(node) -> bool:
     )
 
 
-def _commas(node: Node) -> int:
-    return sum(
-        c.count(",") if isinstance(c, str) else _commas(c) for c in node.children
-    )
-
-
 def _joins(best: Node, sibling) -> bool:
     """Whether a sibling of the best container belongs to the text."""
     if sibling is best:

@@ -146,6 +146,27 @@ def test_deep_and_long_pages():
     assert text == "\n".join([READ] * 5000)
 
 
+@pytest.mark.parametrize("tag", ["b", "span", "font"])
+def test_deep_inline_elements(tag):
+    words = "Words, which are long enough to be the text of the page, stand here."
+    page = f"<body><p>{f'<{tag}>' * 20_000}{words}</p><p>{words}</p>"
+    assert extract.main_text(page) == f"{words}\n{words}"
+    extract.main_text(f"<p>{f'<{tag}>' * 20_000}{words}{f'</{tag}>' * 30_000}")
+
+
+@pytest.mark.parametrize("inner", ["article", "main", "div", "section"])
+@pytest.mark.parametrize("side", AROUND)
+def test_a_form_around_the_page(inner, side):
+    fields = "<label>Your name, please <input name=q></label><select><option>One, two</select>"
+    form = '<form method="post" action="./page.aspx" id="form1">'
+    page = f"<body>{form}{side}{fields}<{inner}>{ARTICLE}</{inner}>{fields}</form></body>"
+    assert extract.main_text(page) == READ
+    assert extract.main_text(f"<body>{form}{ARTICLE}{side}{fields}</form>") == READ
+    asked = f"<form><p>Subscribe here, please, and give us your address.</p>{fields}</form>"
+    assert extract.main_text(f"<body>{form}<{inner}>{ARTICLE}{asked}</{inner}></form>") == READ
+    assert extract.main_text(f"<body>{asked}") == ""
+
+
 def test_many_nested_paragraphs_take_linear_time():
     page = "<body>" + "".join(f"<div>{ARTICLE}" for _ in range(4000))
     assert extract.main_text(page) == "\n".join([READ] * 4000)
