@@ -1,7 +1,11 @@
 import hashlib
+import itertools
 import math
+import random
 import re
+import time
 
+import pytest
 from helpers import SMALL, rows_of
 
 from shelfwise.llm import queries, secrets
@@ -14,8 +18,7 @@ KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_base64"]
 
 def plain_entropy(word):
     best = None
-    for i in range(len(word) - 19):
-        part = word[i:i + 20]
+    for part in {word[i:i + 20] for i in range(len(word) - 19)}:
         h = -sum(part.count(c) / 20 * math.log2(part.count(c) / 20) for c in set(part))
         best = h if best is None else max(best, h)
     return round(best, 9)
@@ -30,22 +33,37 @@ def plain_spans(text):
              if len(m[0]) >= 18]
     base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
     more = []
+    ends = [0] * (len(text) + 1)
+    for start, _, end in base:
+        ends[start] = max(ends[start], end)
+    reach = list(itertools.accumulate(ends, max))
     for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
-        word = m[0]
-        if any(s <= m.start() and e >= m.end() for s, _, e in base):
-            continue
-        if any(re.search(p, word) for p in secrets.ALLOWED) or not re.search("[0-9]", word):
-            continue
-        h = plain_entropy(word)
-        if re.search("^[0-9A-Fa-f]+$", word) and re.search("[A-Fa-f]", word) and h >= 3.0:
-            more.append((m.start(), 3, m.end()))
-        elif re.search("[0-9].*[0-9]", word) and re.search("[A-Z]", word) and re.search(
-            "[a-z]", word
-        ) and h >= 3.7:
-            more.append((m.start(), 4, m.end()))
+        for start, word in plain_unknown(m.start(), m[0]):
+            end = start + len(word)
+            if reach[start] >= end or len(word) < 20 or not re.search("[0-9]", word):
+                continue
+            h = plain_entropy(word)
+            if re.search("^[0-9A-Fa-f]+$", word) and re.search("[A-Fa-f]", word) and h >= 3.0:
+                more.append((start, 3, end))
+            elif len(re.findall("[0-9]", word)) > 1 and re.search("[A-Z]", word) and re.search(
+                "[a-z]", word
+            ) and h >= 3.7:
+                more.append((start, 4, end))
     return sorted(base), sorted(base + more)
 
 
+def plain_unknown(at, word):
+    """Cuts a run at identifiers, at placeholder words and at paths of three lower-case words."""
+    identifier = "-".join("[0-9A-Fa-f]{%d}" % n for n in (8, 4, 4, 4, 12))
+    placeholder = "(?<![A-Za-z0-9])(?:example|dummy|placeholder|changeme)(?![A-Za-z0-9])"
+    path = "(?<![A-Za-z0-9])(?:[a-z]{3,}[/_-]){3,}"
+    start = 0
+    for m in re.finditer(f"{identifier}|(?i:{placeholder})|{path}", word):
+        yield at + start, word[start:m.start()]
+        start = m.end()
+    yield at + start, word[start:]
+
+
 def said(spans):
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
@@ -87,18 +105,43 @@ def test_the_allow_list_spares_only_what_it_knows(spark):
     token, known = "Xk29fQz81LmPq7RtVw3Y", "550e8400-e29b-41d4-a716-446655440000"
     fronts = ["com/api/hooks/incoming/", f"{known}", "example/", "dummy-", "my/EXAMPLE/"]
     texts = [f"é {f}{token} end" for f in fronts] + [f"é {token}/{known}", f"see {token}-dummy-{token[::-1]}"]
-    alone = [f + "File12" for f in fronts] + [token + "EXAMPLE" + token]
-    frame = spark.createDataFrame(list(enumerate(texts + alone)), "doc_id int, text string").repartition(1)
+    alone = [f + "File12" for f in fronts]
+    joined = ["Xk29fQz81LmPq7DumMyRtVw3Y8sT0b5Kc", token + "EXAMPLE" + token]
+    frame = spark.createDataFrame(list(enumerate(texts + alone + joined)), "doc_id int, text string").repartition(1)
     spans = {r.doc_id: r.spans for r in secrets.scan(frame).select("doc_id", "spans").collect()}
     for i, text in enumerate(texts):
         found = "".join(text[s.start:s.end] for s in spans[i])
         assert token in found and known not in found and {s.rank for s in spans[i]} == {4}, text
     assert token[::-1] in "".join(texts[6][s.start:s.end] for s in spans[6])
     assert not any(spans[len(texts) + i] for i in range(len(alone)))
+    for i, text in enumerate(joined, len(texts) + len(alone)):
+        assert [(s.start, s.end) for s in spans[i]] == [(0, len(text))]
     for row in secrets.redacted(frame.limit(len(texts))).collect():
         assert token not in row.text and "[secret]" in row.text
 
 
+def random_run(size, seed=1):
+    lot = random.Random(seed)
+    return "".join(lot.choices("ABCDEFGHJKMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz0123456789", k=size))
+
+
+@pytest.mark.parametrize("text", [
+    "abc/" * 20_000 + "1", "ab/" * 20_000 + "Abc/" * 20_000 + "1", "abc/def/" + "x" * 200_000 + "1",
+    "550e8400-e29b-41d4-a716-446655440000/" + random_run(200_000), "dummy-" * 20_000 + random_run(30),
+    random_run(100_000) + "dummy" + random_run(100_000), "token=" + " " * 200_000, "0" * 100_000 + "-",
+    " ".join(random_run(24, i) for i in range(4_000)), "password=" * 20_000,
+    " ".join(f"{random_run(30, i)} secret={random_run(20, i)} {i:016x}" for i in range(2_000)),
+])
+def test_long_texts_take_little_time(spark, text):
+    frame = spark.createDataFrame([(1, text)], "doc_id int, text string").repartition(1)
+    secrets.scan(frame.selectExpr("doc_id", "'a' AS text")).count()
+    start = time.perf_counter()
+    row = secrets.scan(frame).select("base", "spans").first()
+    assert time.perf_counter() - start < 15
+    want = plain_spans(text)
+    assert [tuple(s) for s in row.base] == want[0] and [tuple(s) for s in row.spans] == want[1]
+
+
 def test_query_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     assert rows_of(queries.op10_secrets(spark, SMALL)) == sorted(
