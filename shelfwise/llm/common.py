@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+_KEPT = "shelfwise_kept_by_worker"
 # Documents handled together inside a task; a batch is cut by rows and by bytes.
 BATCH_BYTES = 8 << 20
 
@@ -42,12 +45,15 @@ def map_text(
     ``build`` is called once in a task and returns the function for its slices.
     """
 
+    names = df.columns
+
     def run(batches):
         function = build()
-        for part in slices(batches, column):
+        for part in slices((b.rename_columns(names) for b in batches), column):
             yield function(part)
 
-    return df.mapInArrow(run, schema)
+    # Spark looks the columns up by names that it does not quote.
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, schema)
 
 
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
@@ -68,6 +74,17 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def kept(kind: str, key, build: Callable[[], object]):
+    """What ``build`` gives, made once in a worker process for each kind: the value for the last key
+    stays. Code is sent to workers by value, so a module's own names would not last from one task
+    to the next.
+    """
+    held = vars(sys.modules.setdefault(_KEPT, ModuleType(_KEPT)))
+    if kind not in held or held[kind][0] != key:
+        held[kind] = key, build()
+    return held[kind][1]
+
+
 def unlike(names: list[str]) -> list[str]:
     """The names, where one that an earlier one has gets underscores."""
     taken, out = set(), []

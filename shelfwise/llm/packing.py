@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm.common import slices, strings
-from shelfwise.llm.tokens import Encoder
+from shelfwise.llm import tokens
 from shelfwise.session import staged
 
 WINDOW = 2048
@@ -86,7 +86,7 @@ def pack(
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
-        encoder, task, sequence = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, task, sequence = tokens.encoder(tokenizer), TaskContext.get().partitionId(), 0
         windows, rows = Windows(window, open_windows), []
 
         def emit(pieces, is_open=False):

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.llm.common import read_range, slices, strings, write_file
-from shelfwise.llm.tokens import Encoder
+from shelfwise.llm import tokens
 from shelfwise.session import compute_slots, scratch_path, staged
 
 MAGIC = b"WVLT1"
@@ -207,7 +207,7 @@ def write_shards(
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "text")
 
     def write(batches):
-        encoder, part, number = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, number = tokens.encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         keys, sizes, held, total = [], [], [], 0
 

@@ -26,7 +26,8 @@ def plain_ids(name, texts):
 
 @pytest.mark.parametrize("name", FILES)
 def test_ids_are_those_of_the_library(name, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_PIECES", 50)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 300)
     draw = random.Random(2)
     texts = ["".join(draw.choices(PARTS, k=draw.randint(0, 14))) for _ in range(4000)] + ["", "x" * 9999]
     encoder = tokens.Encoder(public_tokenizers.path(name))
