@@ -22,6 +22,8 @@ from shelfwise.llm.training import TRAIN_ROWS, held_out, sample
 
 # Feature columns for words, shapes and repetition.
 WORDS, SHAPES, LEVELS = 512, 384, 16
+# Repeated words are counted within stretches of so many words, so that long texts can be compared.
+SPAN = 200
 WORD_WEIGHT, SHAPE_WEIGHT, REPEAT_WEIGHT = 0.4, 1.0, 1.5
 RANK = 48
 NEIGHBOURS = 25
@@ -69,7 +71,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
         1 - threes / max(1, len(words) - 2) if len(words) > 2 else 0.0,
         same / len(words),
         1 - len(set(lines)) / len(lines),
-        1 - len(counts) / len(words) if len(words) < 200 else 0.0,
+        1 - sum(len(set(words[i:i + SPAN])) for i in range(0, len(words), SPAN)) / len(words),
     )
     for i, share in enumerate(shares):
         level = min(LEVELS - 1, int(share * LEVELS))
@@ -120,7 +122,8 @@ class Model:
         return cls(weights, projection, _unit(weighted @ projection), labels, float(labels.mean()))
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        """Label shares among the nearest labelled vectors; the prior for texts without words."""
+        """Label shares among the nearest labelled vectors, and among all that are as near as the last
+        of them; the prior for texts without words."""
         out = np.full(len(rows), self.prior)
         if not len(self.vectors):
             return out
@@ -132,6 +135,13 @@ class Model:
             weight = np.clip(np.take_along_axis(cosine, near, axis=1), 0, 1) ** 4
             total = weight.sum(axis=1)
             votes = (weight * self.labels[near]).sum(axis=1)
+            least = np.take_along_axis(cosine, near, axis=1).min(axis=1, keepdims=True)
+            tied = np.flatnonzero((cosine >= least).sum(axis=1) > k)
+            for i in tied:
+                row = cosine[i]
+                all_near = np.clip(row[row >= least[i]], 0, 1) ** 4
+                total[i] = all_near.sum()
+                votes[i] = (all_near * self.labels[row >= least[i]]).sum()
             voted = total > 0
             out[at:at + BLOCK][voted] = np.clip(votes[voted] / total[voted], 0, 1)
         return out
@@ -155,11 +165,12 @@ def fit(
 
     taken = sample(docs, labels, label, text, key, rows)
     got = map_text(taken, "text", "row binary, label double", lambda: run).toArrow()
-    data = np.frombuffer(b"".join(got.column("row").to_pylist()), np.float16)
     # In an order that does not depend on the tasks.
-    order = np.lexsort((got.column("label").to_numpy(), *data.reshape(-1, COLUMNS).T[::97]))
-    found = data.reshape(-1, COLUMNS)[order].astype(np.float32)
-    return Model.fitted(found, got.column("label").to_numpy()[order])
+    found = sorted(zip(got.column("row").to_pylist(), got.column("label").to_pylist()))
+    data = np.frombuffer(b"".join(row for row, _ in found), np.float16)
+    return Model.fitted(
+        data.reshape(-1, COLUMNS).astype(np.float32), np.array([y for _, y in found], float)
+    )
 
 
 def score(

@@ -140,7 +140,8 @@ def fit(
 ) -> Model:
     """A model from at most ``rows`` labelled documents that are not held out.
 
-    Their sentences come to the driver as hashed features.
+    Their sentences come to the driver as hashed features: at most 16 bytes for each word of the
+    sample, whose texts have a bounded size in all.
     """
 
     def run(batch):

@@ -33,6 +33,52 @@ def test_sample_is_bounded_and_never_held_out(spark):
     assert training.sample(docs, labels, "quality", "text", "doc_id", 10).count() == 10
 
 
+def test_the_sample_takes_one_row_of_a_key_and_only_documents(spark):
+    rows = [(i % 20, f"t{i % 20}") for i in range(2000)] + [(0, "another"), (None, "t"), (999, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = label_rows(spark, [(i, i % 2, 0) for i in range(1000)])
+    got = training.sample(docs, labels, "quality", "text", "doc_id", 10)
+    assert got.count() == 10
+    got = training.sample(docs, labels, "quality", "text", "doc_id").collect()
+    kept = [i for i in [*range(20), 999] if not plain_held_out(i)]
+    assert sorted(r.label for r in got) == sorted(float(i % 2) for i in kept)
+    assert {r.text for r in got} - {"another"} >= {f"t{i}" for i in kept if 0 < i < 20}
+    # No document beside unlabelled ones: many labels do not crowd out the few that have a text.
+    few = docs.where("doc_id between 3 and 6")
+    assert training.sample(few, labels, "quality", "text", "doc_id", 10).count() == sum(
+        not plain_held_out(i) for i in range(3, 7)
+    )
+
+
+def test_the_sample_is_bounded_by_bytes(spark):
+    rows = [(i, "x" * (100 if i % 5 else 5000)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = label_rows(spark, [(i, i % 2, 0) for i in range(400)])
+    got = [r.text for r in training.sample(docs, labels, "quality", "text", "doc_id", 300, 12_800).collect()]
+    assert got == ["x" * 100] * 128
+
+
+def test_equal_neighbours_all_vote():
+    row = np.zeros((1, quality.COLUMNS), np.float32)
+    row[0, :3] = 1
+    rows = np.repeat(row, 60, axis=0)
+    rows[50:, 3] = 2
+    labels = np.array([1.0] * 20 + [0.0] * 30 + [1.0] * 10)
+    for order in (np.arange(60), np.arange(60)[::-1]):
+        model = quality.Model.fitted(rows[order], labels[order])
+        assert abs(model.scores(row)[0] - 0.4) < 1e-6
+
+
+def test_repetition_counts_alike_at_every_length():
+    base = [f"w{i}" for i in range(100)]
+    levels = set()
+    for times in (2, 20, 200):
+        columns, counts = quality.features(" ".join(base * times))
+        last = quality.WORDS + quality.SHAPES + 3 * quality.LEVELS
+        levels.add(tuple(c - last for c in columns if c >= last))
+    assert levels == {(quality.LEVELS // 2,)}
+
+
 @pytest.mark.parametrize("kind,label", [(quality, "quality"), (toxicity, "toxic")])
 def test_edge_rows(spark, kind, label):
     docs = edge_rows(spark)
