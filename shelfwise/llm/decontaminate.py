@@ -12,18 +12,21 @@ smallest of them.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.llm.common import map_text, slices, strings
+from shelfwise.llm.common import kept, map_text, slices, strings, unlike
+from shelfwise.session import staged
 
 # One edit is allowed for this many characters of an item.
 CHARS_PER_EDIT = 10
-# Items are matched in blocks of at most about this many characters; each is broadcast.
-BLOCK_CHARS = 8 << 20
+# Items are matched in blocks of at most about this many characters, one block after the other. A
+# worker holds one block's automaton, about 120 MB at this size.
+BLOCK_CHARS = 1 << 20
 # Groups of pieces that a hit is checked with before the whole item is.
 CHECKS = 2
 
@@ -83,6 +86,12 @@ def within(pattern: str, text: str, errors: int) -> bool:
     return any(score <= errors for score in last_row(pattern, text))
 
 
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether no letter or digit goes on beyond either end of a stretch of text."""
+    before = start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+    return not before and not (end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
+
+
 def groups(count: int) -> list[list[tuple[int, int]]]:
     """For each of ``count`` pieces, the groups (first, end) around it, smallest first."""
     around: list[list[tuple[int, int]]] = [[] for _ in range(count)]
@@ -101,7 +110,7 @@ def groups(count: int) -> list[list[tuple[int, int]]]:
 
 
 class Matcher:
-    """Finds items of one block in texts."""
+    """Finds items of one block in texts. Items too short for an edit have to stand at word edges."""
 
     def __init__(self, items: list[tuple], chars_per_edit: int):
         import ahocorasick
@@ -112,9 +121,11 @@ class Matcher:
         for n, ((_, text), budget) in enumerate(zip(items, self.budgets)):
             cuts = [len(text) * k // (budget + 1) for k in range(budget + 2)]
             for k, around in enumerate(groups(budget + 1)):
-                checks = [
-                    (text[cuts[a]:cuts[b]], b - a - 1, cuts[k] - cuts[a]) for a, b in around[:CHECKS]
-                ]
+                # A check is a stretch of the item, the edits it may have, and how far the piece is
+                # into it.
+                checks = tuple(
+                    (cuts[a], cuts[b], b - a - 1, cuts[k] - cuts[a]) for a, b in around[:CHECKS]
+                )
                 places[text[cuts[k]:cuts[k + 1]]].append((n, cuts[k], checks))
         self.automaton = ahocorasick.Automaton()
         for piece, found in places.items():
@@ -127,14 +138,16 @@ class Matcher:
         for last, (size, found) in self.automaton.iter(text):
             for n, offset, checks in found:
                 at = last + 1 - size
+                budget, item = self.budgets[n], self.items[n][1]
+                if not budget and not stands_alone(text, at, last + 1):
+                    continue
                 if not all(
-                    within(part, text[max(0, at - back - e):at - back + len(part) + e], e)
-                    for part, e, back in checks
+                    within(item[i:j], text[max(0, at - back - e):at - back + j - i + e], e)
+                    for i, j, e, back in checks
                 ):
                     continue
-                budget = self.budgets[n]
                 start = at - offset
-                begin, end = start - budget, start + len(self.items[n][1]) + budget
+                begin, end = start - budget, start + len(item) + budget
                 spans.setdefault(n, []).append([max(0, begin), min(len(text), end)])
         for n, own in spans.items():
             own.sort()
@@ -165,8 +178,9 @@ class Matcher:
         return next(self.find(text), None) is not None
 
 
-def item_blocks(items: DataFrame, text: str, key: str) -> list[list[tuple]]:
-    """The items with text, normalised, in blocks whose size does not grow with their number.
+def item_blocks(items: DataFrame, text: str, key: str) -> Iterator[list[tuple]]:
+    """The items with text, normalised, in blocks whose size does not grow with their number. A block
+    is made when it is asked for, so that only one is held.
 
     The caller goes through all documents once for each block.
     """
@@ -174,11 +188,29 @@ def item_blocks(items: DataFrame, text: str, key: str) -> list[list[tuple]]:
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     count = -(-chars // BLOCK_CHARS)
     block = F.pmod(F.xxhash64("key", "text"), F.lit(max(1, count)))
-    out = []
     for b in range(count):
         found = [(r.key, normal(r.text or "")) for r in rows.where(block == b).collect()]
-        out.append([x for x in found if x[1]])
-    return out
+        if own := [x for x in found if x[1]]:
+            yield own
+
+
+def _matcher(shared, chars_per_edit: int) -> Matcher:
+    """A broadcast block's matcher, built once in a worker process."""
+    return kept("matcher", (shared.id, chars_per_edit), lambda: Matcher(shared.value, chars_per_edit))
+
+
+class _Block:
+    """A block of items that all tasks get, by a name of its own."""
+
+    def __init__(self, spark, items: list[tuple]):
+        self.id, self._sent = uuid.uuid4().hex, spark.sparkContext.broadcast(items)
+
+    @property
+    def value(self) -> list[tuple]:
+        return self._sent.value
+
+    def done(self) -> None:
+        self._sent.unpersist()
 
 
 def matches(
@@ -194,18 +226,23 @@ def matches(
 
     The closest place is given, of equals the first, as an offset into the lower-cased text with
     single spaces. Items without text are in no document, and documents without text hold no item.
-    An item shorter than ``chars_per_edit`` has to be found unchanged. Repeated rows and repeated
-    items are all reported. Other columns are not read.
+    An item shorter than ``chars_per_edit`` has to be found unchanged, and at word edges. Repeated
+    rows and repeated items are all reported. An empty table gives no rows. Other columns are not
+    read; where the result's names clash, the later one gets an underscore.
     """
+    from pyspark.sql.pandas.types import to_arrow_type
+
     spark = docs.sparkSession
     keyed = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     key_type = keyed.schema["key"].dataType.simpleString()
-    item_type = items.schema[item_key].dataType.simpleString()
-    schema = f"key {key_type}, " + FOUND.format(item=item_type)
+    item_type = items.schema[item_key].dataType
+    schema = f"key {key_type}, " + FOUND.format(item=item_type.simpleString())
+    arrow_item = to_arrow_type(item_type)
+    names = ["key", "item_id", "distance", "start", "end", "item_chars"]
 
     def search(shared):
         def run(batches):
-            matcher = Matcher(shared.value, chars_per_edit)
+            matcher = _matcher(shared, chars_per_edit)
             for batch in slices(batches, "text"):
                 keys = batch.column("key").to_pylist()
                 rows = [
@@ -221,16 +258,23 @@ def matches(
 
         return run
 
-    from pyspark.sql.pandas.types import to_arrow_type
+    found, waiting = None, None
+    for block in item_blocks(items, text, item_key):
+        if waiting is not None:
+            # There is another block, so the one before is finished first.
+            found = _joined(found, staged(waiting[0], "contaminated"))
+            waiting[1].done()
+        shared = _Block(spark, block)
+        waiting = keyed.mapInArrow(search(shared), schema), shared
+    if waiting is None:
+        found = spark.createDataFrame([], schema)
+    else:
+        found = _joined(found, waiting[0])
+    return found.toDF(*unlike([key, *names[1:]]))
 
-    arrow_item = to_arrow_type(items.schema[item_key].dataType)
-    names = ["key", "item_id", "distance", "start", "end", "item_chars"]
-    blocks = item_blocks(items, text, item_key) or [[]]
-    found = None
-    for block in blocks:
-        part = keyed.mapInArrow(search(spark.sparkContext.broadcast(block)), schema)
-        found = part if found is None else found.union(part)
-    return found.withColumnRenamed("key", key)
+
+def _joined(found: DataFrame | None, part: DataFrame) -> DataFrame:
+    return part if found is None else found.union(part)
 
 
 def cleaned(
@@ -240,12 +284,17 @@ def cleaned(
     item_key: str = "item_id",
     chars_per_edit: int = CHARS_PER_EDIT,
 ) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with all their columns."""
+    """The rows of ``docs`` in which no item is found, with all their columns, whatever their names.
+
+    Null and empty texts hold nothing and stay; repeated rows go or stay together; an empty table
+    gives no rows, and without items all rows stay. With several blocks of items the rows that are
+    left are written between them.
+    """
     spark = docs.sparkSession
 
     def keep(shared):
         def build():
-            matcher = Matcher(shared.value, chars_per_edit)
+            matcher = _matcher(shared, chars_per_edit)
 
             def run(batch):
                 return batch.filter(pa.array([not matcher.any(t) for t in strings(batch, text)]))
@@ -254,6 +303,11 @@ def cleaned(
 
         return build
 
+    waiting = None
     for block in item_blocks(items, text, item_key):
-        docs = map_text(docs, text, docs.schema, keep(spark.sparkContext.broadcast(block)))
+        if waiting is not None:
+            docs = staged(docs, "decontaminated")
+            waiting.done()
+        waiting = _Block(spark, block)
+        docs = map_text(docs, text, docs.schema, keep(waiting))
     return docs

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm import (
@@ -280,21 +282,26 @@ WITH d AS (
   SELECT r, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i
   FROM d
 ), line AS (
-  SELECT r, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw,
-         row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again
+  SELECT r, i, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw,
+         row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again,
+         regexp_matches(line, '[__STOPS__…:;]["''”’)»\]]*([\x20\x09-\x0D]|$)') AS ended,
+         sum(CASE WHEN regexp_matches(line, '__GOES_ON__') THEN 0 ELSE 1 END)
+           OVER (PARTITION BY r ORDER BY i) AS run
   FROM cut
+), wrapped AS (
+  SELECT *, bool_or(ended) OVER (PARTITION BY r, run ORDER BY i DESC) AS ends FROM line
 ), sized AS (
-  SELECT r, line, lw, again, len(lw) AS n, length(array_to_string(lw, '')) AS chars,
+  SELECT r, line, lw, again, ends, len(lw) AS n, length(array_to_string(lw, '')) AS chars,
          length(regexp_replace(line, '[^|»›•·]', '', 'g')) AS separators,
          length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols
-  FROM line WHERE len(lw) > 0
+  FROM wrapped WHERE len(lw) > 0
 ), judged AS (
   SELECT r, again, chars,
     again
     OR separators >= 3 AND n <= 6 * separators
     OR 10 * symbols > chars
     OR n >= 3 AND NOT regexp_matches(line, '\p{Ll}') AND regexp_matches(line, '\p{Lu}')
-    OR n >= 4 AND NOT regexp_matches(line, '[.!?…。！？:;]["''”’)»\]]*([\x20\x09-\x0D]|$)')
+    OR n >= 4 AND NOT ends
     OR n >= 8 AND 3 * len(list_distinct(lw)) < n
     OR n <= 20 AND regexp_matches(line, '__BOILERPLATE__') AS fails
   FROM sized
@@ -321,5 +328,7 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND 100 * lost <= 30 * word_chars AS kept
 FROM b
-""".replace("__BOILERPLATE__", rules.BOILERPLATE),
+""".replace("__BOILERPLATE__", rules.BOILERPLATE)
+    .replace("__STOPS__", re.escape(rules.STOPS))
+    .replace("__GOES_ON__", rules.GOES_ON.replace("'", "''")),
 }

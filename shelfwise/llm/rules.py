@@ -31,7 +31,14 @@ BOILERPLATE = (
     r"|newsletter|sign (in|up)|log ?in|click here|read more|share (this|on)|lorem ipsum|powered by"
     r"|skip to (main )?content|back to top"
 )
-_SENTENCE_END = regex.compile(r"""[.!?…。！？:;]["'”’)»\]]*(?:[\x20\x09-\x0D]|$)""")
+# The stops of all scripts, as characters of a class.
+STOPS = "".join(
+    regex.findall(r"\p{Sentence_Terminal}", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])))
+)
+_SENTENCE_END = regex.compile(rf"""[{regex.escape(STOPS)}…:;]["'”’)»\]]*(?:[\x20\x09-\x0D]|$)""")
+# A line that goes on with the sentence of the line before it.
+GOES_ON = r"""^[\x20\x09-\x0D]*["'“‘(«\[]*\p{Ll}"""
+_GOES_ON = regex.compile(GOES_ON)
 _LOWER, _UPPER = regex.compile(r"\p{Ll}"), regex.compile(r"\p{Lu}")
 _BOILERPLATE = regex.compile(BOILERPLATE)
 
@@ -71,8 +78,20 @@ def repeat_words(words: list[str]) -> int:
     return int((np.cumsum(covered) > 0).sum())
 
 
-def line_fails(line: str, words: list[str], chars: int) -> bool:
-    """Whether a line that has words is to be removed, whatever stands before it."""
+def sentence_ends(lines: list[str]) -> list[bool]:
+    """For each line whether a sentence ends in it, or in a line that it is wrapped into: lines go
+    on with the one before as long as they begin in lower case."""
+    found = [False] * len(lines)
+    for i in reversed(range(len(lines))):
+        found[i] = _SENTENCE_END.search(lines[i]) is not None or (
+            i + 1 < len(lines) and found[i + 1] and _GOES_ON.search(lines[i + 1]) is not None
+        )
+    return found
+
+
+def line_fails(line: str, words: list[str], chars: int, ends: bool) -> bool:
+    """Whether a line that has words is to be removed, whatever stands before it. ``ends`` tells
+    whether a sentence ends in it or in what it is wrapped into."""
     count = len(words)
     separators = sum(line.count(c) for c in SEPARATORS)
     if separators >= 3 and count <= 6 * separators:
@@ -81,7 +100,7 @@ def line_fails(line: str, words: list[str], chars: int) -> bool:
         return True
     if count >= 3 and not _LOWER.search(line) and _UPPER.search(line):
         return True
-    if count >= 4 and not _SENTENCE_END.search(line):
+    if count >= 4 and not ends:
         return True
     if count >= 8 and 3 * len(set(words)) < count:
         return True
@@ -92,7 +111,8 @@ def judge(text: str) -> Judged:
     seen: set[str] = set()
     kept_lines, words = [], []
     chars = lost = repeated = 0
-    for line in text.split("\n"):
+    lines = text.split("\n")
+    for line, ends in zip(lines, sentence_ends(lines)):
         own = WORD.findall(line)
         if not own:
             kept_lines.append(line)
@@ -103,7 +123,7 @@ def judge(text: str) -> Judged:
         if again := line in seen:
             repeated += 1
         seen.add(line)
-        if again or line_fails(line, own, size):
+        if again or line_fails(line, own, size, ends):
             lost += size
         else:
             kept_lines.append(line)
@@ -121,7 +141,10 @@ def judged(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     ``cleaned``, the text without the removed lines.
 
     A null text is empty, has no words and fails. Repeated rows are judged each; other columns are
-    not read. Lines end at line feeds only; a line without words is never removed.
+    not read; an empty table gives no rows. Lines end at line feeds only; a line without words is
+    never removed. The sentence rule knows the stops of all scripts, and prose that is wrapped at
+    some width; the words of boilerplate are English, so that of other languages is only found by
+    the other rules.
     """
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars"]
@@ -146,7 +169,8 @@ def judged(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
 def cleaned(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with the removed lines taken out of the text.
 
-    All columns stay; a column ``n_chars`` follows the text.
+    All columns stay, whatever their names; a column ``n_chars`` follows the text. Null and empty
+    texts have no words and go; repeated rows are judged alike; an empty table gives no rows.
     """
     name = fresh_name(docs, "kept")
     schema = StructType([*docs.schema.fields, StructField(name, BooleanType())])

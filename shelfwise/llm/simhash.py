@@ -17,12 +17,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from shelfwise.llm.common import fresh_name, map_text, utf8
+from shelfwise.llm.common import fresh_name, map_text, unlike, utf8
 from shelfwise.llm.components import components
-from shelfwise.session import compute_slots, staged
+from shelfwise.session import BROADCAST_LIMIT_BYTES, compute_slots, staged
 
 BITS = 64
 SHINGLE_SEED = 42
@@ -236,9 +236,18 @@ def near_duplicates(
     the row's own included. ``print`` is the fingerprint as a long, ``root`` the smallest print of
     the component. A null text is empty; texts without words share fingerprint zero. A null key
     never becomes a component_id unless the component has no other; repeated rows stay. Other
-    columns of ``docs`` are not read. An empty table gives an empty result.
+    columns of ``docs`` are not read. An empty table gives an empty result. Where the result's names
+    clash, the later one gets an underscore.
     """
-    keyed = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    found = _classified(docs, text, key, words, distance)
+    return found.select(
+        "key", F.lower(F.lpad(F.hex("print"), 16, "0")), "component_id", "print", "root"
+    ).toDF(*unlike([key, "fingerprint", "component_id", "print", "root"]))
+
+
+def _classified(docs: DataFrame, text: str, key: str, words: int, distance: int) -> DataFrame:
+    """(key, print, root, component_id)"""
+    keyed = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     prints = staged(
         with_fingerprints(keyed, "text", words, "print").select("key", "print"), "prints"
     )
@@ -257,29 +266,46 @@ def near_duplicates(
         ),
         "classes",
     )
-    return prints.join(classes, "print").select(
-        F.col("key").alias(key),
-        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
-        "component_id",
-        "print",
-        "root",
-    )
+    return prints.join(classes, "print").select("key", "print", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 4,
                 distance: int = 4) -> DataFrame:
     """``docs`` with one row of each near-duplicate component: a row whose key is the smallest.
 
-    Where rows repeat that key and its fingerprint, one of them stays. The columns are those of
-    ``docs``.
+    Where rows repeat that key, the smallest fingerprint in the component counts, and of the rows
+    that share it the one with the smallest hash of its text. The columns are those of ``docs``,
+    whatever their names. Null and empty texts and those without words are one component; null keys
+    come last. An empty table gives no rows.
+
+    Texts are hashed once. Rows with a key of their own are dropped by key alone; only rows that
+    share a key are hashed again. The dropped keys are broadcast when they are few enough.
     """
-    found = near_duplicates(docs, text, key, words, distance)
-    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min(key).alias("kept_key"), F.min("print").alias("kept_print")
+    found = staged(_classified(docs, text, key, words, distance), "found")
+    kept = found.where(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("key").alias("kept_key"), F.min("print").alias("kept_print")
+    )
+    is_kept = F.col("key").eqNullSafe(F.col("kept_key")) & (F.col("print") == F.col("kept_print"))
+    keys = found.join(kept, "root").groupBy("key").agg(
+        F.count("*").alias("rows"), F.count_if(is_kept).alias("kept")
+    )
+    keys = staged(keys.where("rows > 1 or kept = 0"), "dropped")
+    few = keys.count() * 64 <= BROADCAST_LIMIT_BYTES
+    shared = keys.where("kept > 0")
+    sent, some = (F.broadcast(k) if few else k for k in (keys, shared))
+    whole = docs.join(sent, docs[f"`{key}`"].eqNullSafe(sent["key"]), "left_anti")
+    if shared.isEmpty():
+        return whole
+    name, order, first = (fresh_name(docs, n) for n in ("print", "place", "digest"))
+    again = with_fingerprints(
+        docs.join(some, docs[f"`{key}`"].eqNullSafe(some["key"]), "left_semi"), text, words, name
     )
-    name = fresh_name(docs, "print")
-    marked = with_fingerprints(docs, text, words, name)
-    same = F.col(f"m.{name}") == F.col("k.kept_print")
-    same &= F.col(f"m.`{key}`").eqNullSafe(F.col("k.kept_key"))
-    joined = marked.alias("m").join(kept.alias("k"), same, "left_semi")
-    return joined.dropDuplicates([key, name]).select(*[f"`{c}`" for c in docs.columns])
+    chosen = again.alias("m").join(
+        kept.alias("k"),
+        F.col(f"m.`{key}`").eqNullSafe(F.col("k.kept_key"))
+        & (F.col(f"m.`{name}`") == F.col("k.kept_print")),
+        "left_semi",
+    ).withColumn(first, F.xxhash64(f"`{text}`"))
+    place = F.row_number().over(Window.partitionBy(f"`{key}`", f"`{name}`").orderBy(first, f"`{text}`"))
+    columns = [f"`{c}`" for c in docs.columns]
+    return whole.unionAll(chosen.withColumn(order, place).where(F.col(order) == 1).select(*columns))

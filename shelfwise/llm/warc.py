@@ -13,13 +13,14 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from itertools import groupby
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm.common import read_range, slices, write_file
-from shelfwise.session import compute_slots, scratch_path, staged
+from shelfwise.session import BROADCAST_LIMIT_BYTES, compute_slots, scratch_path, staged
 
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 16 << 20
@@ -36,20 +37,28 @@ ENTRY = "<II"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def identifier(key) -> str:
-    return f"<urn:page:{'' if key is None else key}>"
+KEYS = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64(),
+        "string": pa.string()}
+
+
+def identifier(key, digest: str) -> str:
+    """A record's name: its key, with all but plain characters written as ``%xx``, and the digest of
+    its payload. Rows that share a key have names of their own unless they are the same. A null key
+    is left out."""
+    known = "" if key is None else ":" + quote(str(key), safe="")
+    return f"<urn:page:{digest}{known}>"
 
 
 def record(kind: str, key, url: str | None, payload: bytes, size: int, digest: str, refers) -> bytes:
     """One WARC record. A revisit has the HTTP head alone; ``size`` is that of the full payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n"
     block = http.encode() + (payload if kind == "response" else b"")
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {identifier(key)}", f"WARC-Date: {DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {identifier(key, digest)}", f"WARC-Date: {DATE}"]
     if url is not None:
         head.append(f"WARC-Target-URI: {quote(url, safe=''.join(map(chr, range(33, 127))))}")
     head.append(f"WARC-Payload-Digest: sha256:{digest}")
     if kind == "revisit":
-        head += [f"WARC-Refers-To: {identifier(refers)}", f"WARC-Profile: {PROFILE}"]
+        head += [f"WARC-Refers-To: {identifier(refers, digest)}", f"WARC-Profile: {PROFILE}"]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -147,8 +156,13 @@ def described(pages: DataFrame, html: str, key: str, url: str) -> DataFrame:
         .groupBy("digest").agg(F.min("key").alias("least"), F.count("*").alias("copies"))
         .where("copies > 1").select(F.col("digest").alias("known"), "least")
     )
+    # Repeated payloads are few beside the payloads; these stay where they are unless the list is too
+    # long to be sent.
+    first = staged(first, "warc-repeated")
+    few = first.count() * 256 <= BROADCAST_LIMIT_BYTES
     other = F.col("least").isNotNull() & ~F.col("least").eqNullSafe(F.col("key"))
-    return rows.join(first, F.col("digest") == F.col("known"), "left").select(
+    sent = F.broadcast(first) if few else first
+    return rows.join(sent, F.col("digest") == F.col("known"), "left").select(
         "key", "url", "payload", "size", "digest", other.alias("revisit"),
         F.when(other, F.col("least")).alias("refers"),
     )
@@ -165,12 +179,14 @@ def write(
 
     Of equal payloads of 100 bytes or more, the row with the smallest key is a response and the
     others revisit it; rows that share that key are all responses, null keys count as larger than
-    any. A null payload is empty. Files of attempts that failed may lie in the folder; the index
-    names the valid ones only. Other columns are not read.
+    any. A null payload is empty. Keys are whole numbers or strings, any string at all; null and the
+    empty string differ. An empty table gives an empty index. Files of attempts that failed may lie
+    in the folder; the index names the valid ones only. Other columns are not read.
     """
     folder = folder or scratch_path(pages.sparkSession, "warc")
     rows = described(pages, html, key, url)
     key_type = rows.schema["key"].dataType.simpleString()
+    _checked(key_type)
     names = ["key", "path", "frame", "offset", "size"]
 
     def run(batches):
@@ -218,16 +234,23 @@ def _row(fields: dict[str, str], payload: bytes, key_of) -> tuple:
     )
 
 
+def _checked(key_type: str) -> None:
+    if key_type not in KEYS:
+        raise ValueError(f"keys have to be of one of the types {', '.join(KEYS)}, not {key_type}")
+
+
 def _key_of(key_type: str):
+    _checked(key_type)
+
     def key_of(name):
-        value = name.removeprefix("<urn:page:").removesuffix(">")
-        return None if not value else int(value) if key_type in ("int", "bigint") else value
+        _, known, value = name.removeprefix("<urn:page:").removesuffix(">").partition(":")
+        return None if not known else unquote(value) if key_type == "string" else int(value)
 
     return key_of
 
 
 def _batch(rows: list[tuple], names: list[str], key_type: str) -> pa.RecordBatch:
-    kind = {"int": pa.int32(), "bigint": pa.int64()}.get(key_type, pa.string())
+    kind = KEYS[key_type]
     kinds = [kind, pa.int64(), pa.string(), pa.string(), kind, pa.string(), pa.binary()]
     columns = list(zip(*rows)) if rows else [[]] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
@@ -235,7 +258,8 @@ def _batch(rows: list[tuple], names: list[str], key_type: str) -> pa.RecordBatch
 
 def read(index: DataFrame, key: str = "page_id") -> DataFrame:
     """Every record of the bundles that an index names: key, payload_bytes, payload_digest,
-    record_type, refers_to, url, payload (null for revisits). Digests are verified."""
+    record_type, refers_to, url, payload (null for revisits). Digests are verified. Records come in no
+    set order, repeated ones each; an empty index gives no rows."""
     key_type = index.schema[key].dataType.simpleString()
     names = [key, "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"]
     key_of = _key_of(key_type)
@@ -254,21 +278,30 @@ def read(index: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def fetch(index: DataFrame, keys: DataFrame, key: str = "page_id") -> DataFrame:
-    """The records of some keys, as ``read`` gives them; only their frames are read.
+    """The records of some keys, as ``read`` gives them; only their frames are read, each once by a
+    task.
 
-    ``keys`` has a column named like the index's key. A record of the empty key is never fetched.
+    ``keys`` has a column named like the index's key. A record of the null key is never fetched, an
+    unknown key gives no row, a repeated one no more than once.
     """
     key_type = index.schema[key].dataType.simpleString()
     names = [key, "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"]
     key_of = _key_of(key_type)
 
     def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                place, size = seek_table(r["path"])[r["frame"]]
-                fields, payload, _ = parsed(read_frame(r["path"], place, size), r["offset"])
+        rows = (r for batch in batches for r in batch.to_pylist())
+        path, table = None, []
+        for (own, frame), places in groupby(rows, key=lambda r: (r["path"], r["frame"])):
+            if own != path:
+                path, table = own, seek_table(own)
+            data, found = read_frame(path, *table[frame]), []
+            for r in places:
+                fields, payload, _ = parsed(data, r["offset"])
                 row = _row(fields, payload, key_of)
-                yield _batch([row if row[3] == "response" else (*row[:6], None)], names, key_type)
+                found.append(row if row[3] == "response" else (*row[:6], None))
+            yield _batch(found, names, key_type)
 
-    wanted = index.join(keys.select(key).distinct(), key, "left_semi")
-    return wanted.mapInArrow(run, f"`{key}` {key_type}, {READ.format(key=key_type)}, payload binary")
+    wanted = index.join(keys.select(f"`{key}`").distinct(), [key], "left_semi")
+    # The frames of a file come together.
+    dealt = wanted.repartition("path", "frame").sortWithinPartitions("path", "frame", "offset")
+    return dealt.mapInArrow(run, f"`{key}` {key_type}, {READ.format(key=key_type)}, payload binary")

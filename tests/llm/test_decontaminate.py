@@ -1,4 +1,6 @@
 import random
+import re
+import resource
 
 from helpers import SMALL, rows_of
 
@@ -61,7 +63,9 @@ def test_all_within_the_budget_are_found(spark):
     for key, text in docs:
         for item, wanted in items:
             wanted = d.normal(wanted or "")
-            if wanted and (n := plain_least(wanted, d.normal(text or ""))) <= len(wanted) // 10:
+            if not wanted or (n := plain_least(wanted, d.normal(text or ""))) > len(wanted) // 10:
+                continue
+            if len(wanted) >= 10 or alone(wanted, d.normal(text)):
                 want.append((key, item, n))
     assert got == sorted(want, key=repr)
     clean = d.cleaned(frame, bench)
@@ -73,6 +77,37 @@ def test_all_within_the_budget_are_found(spark):
     assert d.cleaned(frame, bench.limit(0)).count() == len(docs)
 
 
+def alone(item, text):
+    left = r"(?<![^\W_])" if item[0].isalnum() else ""
+    return re.search(left + re.escape(item) + (r"(?![^\W_])" if item[-1].isalnum() else ""), text)
+
+
+def test_short_items_stand_at_word_edges(spark):
+    texts = ["a banana", "bananas", "an (a) b", "x a", "", None, "a", "c++ code", "ac++ code", "ban a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, "A"), (2, "c++"), (3, "anan")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d.matches(docs, items).collect()}
+    assert got == {(0, 1), (2, 1), (3, 1), (6, 1), (9, 1), (7, 2)}
+    assert {r.doc_id for r in d.cleaned(docs, items).collect()} == {1, 4, 5, 8}
+
+
+def test_clashing_and_dotted_names(spark):
+    docs = spark.createDataFrame([(1, "the whole item text is here", 0)], "item_id long, `a.b` string, kept int")
+    items = spark.createDataFrame([(5, "whole item text is")], "item_id long, text string")
+    found = d.matches(docs, items.withColumnRenamed("text", "a.b"), text="a.b", key="item_id")
+    assert found.columns[:2] == ["item_id", "item_id_"] and found.first()[:2] == (1, 5)
+    assert d.cleaned(docs, items.withColumnRenamed("text", "a.b"), text="a.b").columns == docs.columns
+
+
+def test_a_block_of_full_size():
+    draw = random.Random(9)
+    items = [(i, "".join(draw.choices("abcdefgh ", k=400))) for i in range(d.BLOCK_CHARS // 400)]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    matcher = d.Matcher(items, d.CHARS_PER_EDIT)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300 << 10
+    assert [n for n, *_ in matcher.find(f"x {items[77][1]} y")] == [77]
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     whole = rows_of(queries.op2_decontamination(spark, SMALL))
     monkeypatch.setattr(d, "BLOCK_CHARS", 2000)

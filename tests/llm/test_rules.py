@@ -40,7 +40,26 @@ def test_lines():
     }
     for line, want in fails.items():
         words = rules.WORD.findall(line)
-        assert rules.line_fails(line, words, sum(map(len, words))) is want, line
+        ends = rules.sentence_ends([line])[0]
+        assert rules.line_fails(line, words, sum(map(len, words)), ends) is want, line
+
+
+WRAPPED = (
+    "This is prose that was wrapped at a fixed\nwidth, so that most of its lines hold no end of\n"
+    "a sentence at all. They go on\n\u201cin lower case\u201d in the next\nline, and that ends here."
+)
+
+
+def test_wrapped_prose_and_other_stops():
+    assert rules.judge(WRAPPED).kept and rules.judge(WRAPPED).lost_chars == 0
+    for stop in ("\u0964", "\u061f", "\u06d4", "\u1362", "\u3002", "\uff01"):
+        text = f"\u0939\u0940 \u0915\u094b \u0928\u0947 \u092e\u0947 \u0938\u0947{stop} " * 2
+        assert rules.judge(text.strip()).lost_chars == 0, stop
+    # Lines that go on nowhere still fail, and a blank line ends what goes on.
+    assert rules.sentence_ends(["a b c d", "e f g h", "", "i j k.", "L m n o", "p q r s."]) == [
+        False, False, True, True, True, True
+    ]
+    assert rules.judge("one two three four\nfive six seven eight\nnine ten eleven twelve").lost_chars > 0
 
 
 def test_documents(spark):
@@ -57,6 +76,8 @@ def test_documents(spark):
     assert twice.cleaned == f"{PROSE}\n" and not twice.kept
     assert got[6, 3].word_chars == 5
     assert next(r for k, r in got.items() if k[0] == 8).kept
+    dotted = frame.withColumnRenamed("kept", "a.b")
+    assert rules.cleaned(dotted).columns == dotted.columns and rules.cleaned(dotted).count() == 4
     clean = rules.cleaned(frame)
     assert clean.columns == frame.columns and clean.schema["n_chars"].dataType.simpleString() == "int"
     assert sorted((r.doc_id for r in clean.collect()), key=repr) == sorted([3, 3, None, 8], key=repr)

@@ -80,6 +80,26 @@ def test_edges(spark):
     assert simhash.one_of_each(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_one_of_each_with_shared_keys_and_any_names(spark, monkeypatch, limit):
+    """Rows that share key and fingerprint but not their text: one stays, always the same."""
+    monkeypatch.setattr(simhash, "BROADCAST_LIMIT_BYTES", limit)
+    rows = [(1, "Aa b"), (1, "aa  b"), (1, "quite another text of some words"), (2, "aa b"), (4, "c d"), (4, "c d"),
+            (3, "quite another text of some words"), (None, None), (None, ""), (6, " "), (7, "c d"), (8, "unlike all")]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "print long, `a.b` string, place int")
+    seen = set()
+    for parts in (1, 5):
+        kept = simhash.one_of_each(frame.repartition(parts), text="a.b", key="print")
+        assert kept.columns == frame.columns
+        found = sorted(((r[0], r[1]) for r in kept.collect()), key=repr)
+        assert [k for k, _ in found] == [1, 1, 4, 6, 8]
+        seen.add(tuple(found))
+    assert len(seen) == 1
+    assert simhash.near_duplicates(frame, text="a.b", key="print").columns == [
+        "print", "fingerprint", "component_id", "print_", "root"
+    ]
+
+
 @pytest.mark.parametrize("distance", [0, 1, 3, 4])
 def test_links_connect_what_is_near(spark, distance, monkeypatch):
     monkeypatch.setattr(simhash, "PASS_VARIANTS", 1 << 12)

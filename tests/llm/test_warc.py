@@ -1,6 +1,7 @@
 import hashlib
 import io
 
+import pytest
 import zstandard
 from helpers import SMALL, rows_of
 
@@ -61,7 +62,43 @@ def test_bundle_is_plain_zstandard_with_a_seek_table(spark, monkeypatch, tmp_pat
     for r in index:
         frame = warc.read_frame(r.path, *table[r.frame])
         fields, _, end = warc.parsed(frame, r.offset)
-        assert fields["warc-record-id"] == warc.identifier(r.page_id) and end == r.offset + r.size
+        digest = fields["warc-payload-digest"].removeprefix("sha256:")
+        assert fields["warc-record-id"] == warc.identifier(r.page_id, digest)
+        assert end == r.offset + r.size
+
+
+KEYS = ["a\r\nWARC-Type: x", "", None, "é:%/>", "7", "x" * 5000, "<urn:page:1>", "a\r\nWARC-Type: x"]
+
+
+def test_any_string_is_a_key(spark):
+    rows = [(k, "u", f"page {i} " * 20 if i % 2 else "one page for many " * 9) for i, k in enumerate(KEYS)]
+    frame = spark.createDataFrame(rows, "page_id string, url string, html string")
+    index = warc.write(frame)
+    back = warc.read(index)
+    assert rows_of(back.drop("url", "payload")) == sorted(plain(rows), key=repr)
+    some = spark.createDataFrame([(k,) for k in KEYS if k is not None] * 2, "page_id string")
+    assert warc.fetch(index, some).count() == len(KEYS) - 1
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int"])
+def test_short_numbers_as_keys(spark, kind):
+    rows = [(i % 50, "u", f"page {i % 7} " * 20) for i in range(60)] + [(None, "u", "")]
+    frame = spark.createDataFrame(rows, f"page_id {kind}, url string, html string")
+    back = warc.read(warc.write(frame))
+    assert back.schema["page_id"].dataType.simpleString() == kind
+    assert rows_of(back.drop("url", "payload")) == sorted(plain(rows), key=repr)
+
+
+def test_other_keys_are_refused(spark):
+    frame = spark.createDataFrame([(1.5, "u", "x")], "page_id double, url string, html string")
+    with pytest.raises(ValueError, match="double"):
+        warc.write(frame)
+
+
+def test_payloads_are_not_shuffled(spark):
+    described = warc.described(frame_of(spark), "html", "page_id", "url")
+    plan = described._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_query_equals_brute_force(spark):
