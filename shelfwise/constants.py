@@ -33,6 +33,14 @@ STREAM_RECS = "StreamRecs"
 ITEM_CF_RECS = "ItemCFProductRecs"
 CONTENT_RECS = "ContentBasedProductRecs"
 
+# Tables of the real-time path: item vectors, the products each user has rated, ratings as they are
+# now, each user's recent ratings, and payloads that are no rating.
+ITEM_VECTORS = "ItemVectors"
+RATED = "RatedProducts"
+LIVE_RATING = "LiveRating"
+RECENT_QUEUES = "RecentQueues"
+REJECTED_PAYLOAD = "RejectedPayload"
+
 # Lines of the input files that are no product or rating.
 REJECTED_PRODUCT = "RejectedProduct"
 REJECTED_RATING = "RejectedRating"

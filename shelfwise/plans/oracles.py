@@ -245,7 +245,9 @@ ORACLES: dict[str, str] = {
         """SELECT DISTINCT userId, true AS sized, true AS positive, true AS falling FROM ratings""",
     ),
     "als_product_recs": _with(
-        _RATED, "SELECT DISTINCT productId, true AS inside, true AS symmetric FROM ratings"
+        _RATED,
+        """SELECT DISTINCT productId, true AS inside, true AS symmetric, true AS whole
+        FROM ratings""",
     ),
     "als_grid_rmse": _with(
         "ratings split held",
@@ -254,7 +256,10 @@ ORACLES: dict[str, str] = {
              held""",
     ),
     "als_grid_best": _with(
-        _RATED, 'SELECT true AS "isLeast", true AS "inGrid" FROM ratings LIMIT 1'
+        _RATED,
+        """SELECT true AS "isLeast", true AS "sameApart", true AS "sameRows",
+                  CAST(12 AS BIGINT) AS cells
+        FROM ratings LIMIT 1""",
     ),
     "distinct_users": _with(_RATED, "SELECT DISTINCT userId FROM ratings"),
     "distinct_products": _with(_RATED, "SELECT DISTINCT productId FROM ratings"),
@@ -279,6 +284,17 @@ ORACLES: dict[str, str] = {
         "ratings recent",
         "SELECT userId, rank, productId, score, timestamp FROM recent WHERE rank <= 40",
     ),
+    "stream_rating_upsert": _with("ratings upserted", "SELECT * FROM upserted"),
+    "stream_log_to_topic": _with(
+        "ratings encoded",
+        "SELECT string_split(value, 'PRODUCT_RATING_PREFIX:')[2] AS payload FROM encoded",
+    ),
+    "rejected_payloads": """
+        SELECT CASE l_linenumber % 4
+            WHEN 0 THEN 'u|' || l_partkey || '|4.5|1000'
+            WHEN 1 THEN l_orderkey || '|' || l_partkey || '|NaN|1000'
+            ELSE l_orderkey || '|' || l_partkey || '|4.5' END AS payload
+        FROM lineitem WHERE l_orderkey % 7 = 0 AND l_linenumber % 4 < 3""",
     "stream_recs": _with(
         _STREAM, "SELECT userId, rank, productId, score FROM streamlists"
     ),

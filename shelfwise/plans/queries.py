@@ -32,6 +32,7 @@ from shelfwise.plans.tables import (
 )
 from shelfwise.session import scratch_path, staged
 from shelfwise.sources import events, files, sinks
+from shelfwise.sources.keyed import KeyedTable
 from shelfwise.sources.streams import log_lines as log_stream
 from shelfwise.streaming import jobs as streams
 
@@ -106,9 +107,18 @@ def keyed_replace(spark, folder):
     new = good.where(F.col("m") > 2.75).select(
         "userId", (F.col("n") * 10).alias("n"), F.lit("new").alias("state")
     )
-    sinks.append_batch(old, path, 0)
-    sinks.append_batch(new, path, 1)
-    return sinks.current_rows(spark, path, old.schema, "userId")
+    table = KeyedTable(spark, path, old.schema, ("userId",))
+    table.publish(old)
+    pinned = table.version()
+    # The batch comes in two halves, and is folded into the base between them.
+    for half in (0, 1):
+        table.append(new.where(F.pmod("userId", F.lit(2)) == half), half)
+        table.append(old, half)
+        if half == 0:
+            table.compact()
+    # A reader of the first version sees none of it.
+    before = table.current(pinned).where(F.col("state") != "old")
+    return table.current().unionByName(before)
 
 
 @query
@@ -227,9 +237,9 @@ def _sim(spark, folder) -> DataFrame:
     return sims.item_cosine(item_vectors(spark, folder), VECTOR_DIMS)
 
 
-def _similar(spark, folder) -> DataFrame:
-    """The stored similarity table the real-time queries look things up in."""
-    return staged(sims.ranked_similarity(_sim(spark, folder)), "similar")
+def _units(spark, folder) -> DataFrame:
+    """The item vectors of real-time scoring."""
+    return staged(sims.unit_vectors(item_vectors(spark, folder)), "units")
 
 
 @query
@@ -319,9 +329,13 @@ def als_factors(spark, folder):
 
 @query
 def als_user_recs(spark, folder):
-    """Per user: whether the list has 1 to 20 products, ranked from 1, all scores above zero and
-    none above the one before."""
-    found = fm.user_lists(fm.train(ratings(spark, folder)))
+    """Per user: whether the list has as many products as there are positive predictions, 20 at
+    most, ranked from 1, all scores above zero and none above the one before. The predictions are
+    counted apart from the lists, over all users and items."""
+    model = fm.train(ratings(spark, folder))
+    users, items = (staged(fm.vectors(f), "als-vectors") for f in (model.userFactors, model.itemFactors))
+    found = fm.vector_lists(users, items, model.rank)
+    counts = fm.positive_counts(users, items, model.rank)
     scores = F.transform("recs", lambda r: r["score"])
     falls = F.forall(
         F.zip_with(
@@ -329,32 +343,41 @@ def als_user_recs(spark, folder):
         ),
         lambda ok: ok,
     )
-    return found.select(
+    size = F.coalesce(F.size("recs"), F.lit(0))
+    return counts.join(found, "userId", "left").select(
         "userId",
-        F.size("recs").between(1, TOP).alias("sized"),
-        F.forall(scores, lambda s: s > 0).alias("positive"),
-        falls.alias("falling"),
+        (size == F.least(F.col("positive"), F.lit(TOP))).alias("sized"),
+        F.coalesce(F.forall(scores, lambda s: s > 0), F.lit(True)).alias("positive"),
+        F.coalesce(falls, F.lit(True)).alias("falling"),
     )
 
 
 @query
 def als_product_recs(spark, folder):
-    """Per product: whether all listed cosines are in (0.4, 1] and its lists and those that name it
-    are equally many."""
+    """Per product: whether all listed cosines are in (0.4, 1], its list is as long as there are
+    others with such a cosine, and as many lists name it. The others are counted apart."""
     model = fm.train(ratings(spark, folder))
-    found = staged(fm.product_similarity(model), "als-similar")
+    vectors = staged(fm.vectors(model.itemFactors), "als-vectors")
+    found = staged(sims.item_cosine(vectors, model.rank), "als-similar")
     listed = found.groupBy(F.col("a").alias("id")).agg(
         F.count("*").alias("n"), F.min("sim").alias("low"), F.max("sim").alias("high")
     )
     named = found.groupBy(F.col("b").alias("id")).agg(F.count("*").alias("m"))
     inside = (F.col("low") > 0.4) & (F.col("high") <= 1.0)
+    # A product's cosine with itself is counted too.
+    others = sims.similar_counts(vectors, model.rank).select("id", "others")
+
+    def known(name):
+        return F.coalesce(name, F.lit(0))
+
     return (
-        fm.factors(model).where("kind = 'item'").select("id")
-        .join(listed, "id", "left").join(named, "id", "left")
+        vectors.select("id").join(listed, "id", "left").join(named, "id", "left")
+        .join(others, "id", "left")
         .select(
             F.col("id").alias("productId"),
             F.coalesce(inside, F.lit(True)).alias("inside"),
-            F.col("n").eqNullSafe(F.col("m")).alias("symmetric"),
+            (known("n") == known("m")).alias("symmetric"),
+            (known("n") == known("others")).alias("whole"),
         )
     )
 
@@ -372,42 +395,49 @@ def als_grid_rmse(spark, folder):
 
 @query
 def als_grid_best(spark, folder):
-    """Whether the best setting is one of the grid's rows and none of them has a smaller error."""
-    grid = staged(_grid(spark, folder), "als-grid")
-    best = fm.best_cell(grid).select(F.struct("rank", "lambda", "rmse").alias("best"))
-    rows = grid.agg(
-        F.min("rmse").alias("least"), F.collect_set(F.struct("rank", "lambda", "rmse")).alias("cells")
+    """Whether the best setting is the least of the twelve, and whether a model that is trained and
+    scored apart from the grid has its error."""
+    training, test = history.split_ratings(ratings(spark, folder))
+    grid = staged(fm.grid_rmse(training, test), "als-grid")
+    best = fm.best_cell(grid).first()
+    model = fm.train(training, best["rank"], reg=best["lambda"])
+    observed = history.upserted(test)
+    predicted = fm.predictions(
+        observed.select("userId", "productId"),
+        fm.vectors(model.userFactors), fm.vectors(model.itemFactors),
     )
-    one = F.lit(1).alias("one")
-    return (
-        best.withColumn("one", one).join(rows.withColumn("one", one), "one")
-        .select(
-            (F.col("best.rmse") == F.col("least")).alias("isLeast"),
-            F.array_contains("cells", F.col("best")).alias("inGrid"),
-        )
+    error = fm.rmse(observed, predicted).first()
+    return grid.agg(
+        F.min("rmse").alias("least"), F.count_distinct("rank", "lambda").alias("cells"),
+        F.min("n").alias("fewest"), F.max("n").alias("most"),
+    ).select(
+        (F.col("least") == best["rmse"]).alias("isLeast"),
+        (F.abs(F.col("least") - error["rmse"]) < 1e-4).alias("sameApart"),
+        ((F.col("fewest") == error["n"]) & (F.col("most") == error["n"])).alias("sameRows"),
+        "cells",
     )
 
 
 # Real time
 
 
-def _candidates(rated: DataFrame, similar: DataFrame) -> DataFrame:
-    return realtime.candidates(history.latest_events(rated), similar, rated)
+def _candidates(rated: DataFrame, units: DataFrame) -> DataFrame:
+    return realtime.candidates(history.latest_events(rated), units, VECTOR_DIMS, rated)
 
 
-def _scores(rated: DataFrame, similar: DataFrame) -> DataFrame:
-    return realtime.scores(_candidates(rated, similar), history.recent(rated), similar)
+def _scores(rated: DataFrame, units: DataFrame) -> DataFrame:
+    return realtime.scores(_candidates(rated, units), history.recent(rated), units)
 
 
 @query
 def candidate_products(spark, folder):
-    found = _candidates(ratings(spark, folder), _similar(spark, folder))
+    found = _candidates(ratings(spark, folder), _units(spark, folder))
     return found.select("userId", "rank", "productId", "sim")
 
 
 @query
 def realtime_scores(spark, folder):
-    found = _scores(ratings(spark, folder), _similar(spark, folder))
+    found = _scores(ratings(spark, folder), _units(spark, folder))
     return found.select("userId", "rank", "productId", "score")
 
 
@@ -443,31 +473,77 @@ def stream_log_to_ratings(spark, folder):
 @query
 def stream_recent_ratings(spark, folder):
     rated = streams.ratings_from_lines(_log_stream(spark, folder))
-    target = scratch_path(spark, "queues")
+    target = streams.queue_store(spark, scratch_path(spark, "queues"))
     _finished(
         streams.keep_recent_queues(
             rated, target, scratch_path(spark, "stream"), available_now=True
         )
     )
-    queues = sinks.current_rows(spark, target, streams.QUEUES, "userId")
-    return queues.select("userId", F.inline("queue"))
+    return target.current().select("userId", F.inline("queue"))
+
+
+@query
+def stream_rating_upsert(spark, folder):
+    rated = streams.ratings_from_lines(_log_stream(spark, folder))
+    store = streams.rating_store(spark, scratch_path(spark, "live"))
+    _finished(
+        streams.keep_ratings(rated, store, scratch_path(spark, "stream"), available_now=True)
+    )
+    store.compact()
+    return store.current().drop("lastTime")
+
+
+@query
+def stream_log_to_topic(spark, folder):
+    """A topic of files: the payloads of the rating lines."""
+    path = scratch_path(spark, "topic")
+    _finished(
+        streams.log_to_topic(
+            _log_stream(spark, folder), {"format": "text", "path": path},
+            scratch_path(spark, "stream"), available_now=True,
+        )
+    )
+    return spark.read.text(path).withColumnRenamed("value", "payload")
+
+
+@query
+def rejected_payloads(spark, folder):
+    """What the stream puts aside: ratings whose user, product, score or time is no such thing.
+    Every seventh order's lines are written with one part spoilt."""
+    spoilt = table(spark, folder, "lineitem").where("l_orderkey % 7 = 0").select(
+        F.concat(
+            F.lit(f"INFO rest : {C.RATING_MARKER}"),
+            F.element_at(F.array(
+                F.concat_ws("|", F.lit("u"), "l_partkey", F.lit("4.5|1000")),
+                F.concat_ws("|", "l_orderkey", "l_partkey", F.lit("NaN|1000")),
+                F.concat_ws("|", "l_orderkey", "l_partkey", F.lit("4.5")),
+                F.concat_ws("|", "l_orderkey", "l_partkey", F.lit("4.5|1000")),
+            ), (F.col("l_linenumber") % 4 + 1).cast("int")),
+        ).alias("value")
+    )
+    path, target = scratch_path(spark, "log"), scratch_path(spark, "rejects")
+    spoilt.unionByName(log_lines(spark, folder)).write.text(path)
+    _finished(
+        streams.write_rejects(
+            log_stream(spark, path), target, scratch_path(spark, "stream"), available_now=True
+        )
+    )
+    return files.scan(spark, target, schemas.REJECTED)
 
 
 def _stream_lists(spark, folder) -> DataFrame:
     rated = streams.ratings_from_lines(_log_stream(spark, folder))
-    target = scratch_path(spark, "StreamRecs")
-    similar = _similar(spark, folder)
+    items = streams.vector_store(spark, scratch_path(spark, "vectors"))
+    items.publish(sims.unit_vectors(item_vectors(spark, folder)))
+    known = streams.rated_store(spark, scratch_path(spark, "rated"))
+    target = streams.list_store(spark, scratch_path(spark, "StreamRecs"))
     _finished(
         streams.keep_stream_recs(
-            rated,
-            lambda: similar,
-            target,
-            scratch_path(spark, "stream"),
+            rated, items, known, target, scratch_path(spark, "stream"), VECTOR_DIMS,
             available_now=True,
         )
     )
-    stored = sinks.current_rows(spark, target, schemas.USER_RECS, "userId")
-    return lists.flattened(stored, "userId")
+    return lists.flattened(target.current(), "userId")
 
 
 @query
@@ -560,7 +636,7 @@ def serve_rec_products(spark, folder):
 @query
 def serve_stream_recs(spark, folder):
     rated, items, means = _shop(spark, folder)
-    scored = _scores(rated, _similar(spark, folder))
+    scored = _scores(rated, _units(spark, folder))
     found = serving.listed_products(
         _customers(spark, folder), scored, items, means, "userId", SHOWN
     )
@@ -570,7 +646,7 @@ def serve_stream_recs(spark, folder):
 @query
 def blended_recs(spark, folder):
     rated, items, _ = _shop(spark, folder)
-    scored = _scores(rated, _similar(spark, folder))
+    scored = _scores(rated, _units(spark, folder))
     near = lists.ranked(sims.content(items), "a", [F.desc("score"), F.asc("b")])
     by_tags = history.latest_events(rated).join(near, F.col("productId") == F.col("a"))
     sources = [

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from shelfwise import schemas
 from shelfwise.functions import cosine, half_star, rounded
-from shelfwise.operators import blocks, history, lists, popularity, realtime, similarity
+from shelfwise.operators import (
+    blocks, history, lists, overlaps, popularity, realtime, similarity,
+)
 from shelfwise.operators.factor_model import top_predictions
 
 
@@ -178,9 +180,18 @@ def brute_cf(data, k):
     return out
 
 
-@pytest.mark.parametrize("part_items", [3, 256])
-def test_item_cf_with_hot_users(spark, monkeypatch, part_items):
-    monkeypatch.setattr(similarity, "PART_ITEMS", part_items)
+def small_cells(monkeypatch, rows, entries, dense):
+    for name, value in (("BLOCK_ROWS", rows), ("CELL_ENTRIES", entries), ("DENSE", dense),
+                        ("CHUNK_PAIRS", 50)):
+        monkeypatch.setattr(overlaps, name, value)
+
+
+CELLS = [(3, 5, 64), (7, 1000, 0), (2048, 4, 10**9), (2048, 1 << 17, 64)]
+
+
+@pytest.mark.parametrize("rows, entries, dense", CELLS)
+def test_item_cf_with_hot_users(spark, monkeypatch, rows, entries, dense):
+    small_cells(monkeypatch, rows, entries, dense)
     rng = random.Random(5)
     data = [(u, rng.randrange(-20, 20), 1.0, 1) for u in range(30) for _ in range(5)]
     data += [(u, p, 1.0, 1) for u in (100, 101, 102) for p in range(-20, 20)]
@@ -228,9 +239,9 @@ def brute_content(data, k):
     return out
 
 
-@pytest.mark.parametrize("part_items", [2, 256])
-def test_content(spark, monkeypatch, part_items):
-    monkeypatch.setattr(similarity, "PART_ITEMS", part_items)
+@pytest.mark.parametrize("rows, entries, dense", CELLS)
+def test_content(spark, monkeypatch, rows, entries, dense):
+    small_cells(monkeypatch, rows, entries, dense)
     rng = random.Random(9)
     data = [
         (p, "|".join(["common"] * (p % 3 == 0) + rng.choices("abcdefgh", k=3)) + "|")
@@ -243,21 +254,60 @@ def test_content(spark, monkeypatch, part_items):
     assert got == brute_content(data, 5)
 
 
-def sim_table(spark, data):
-    sim = spark.createDataFrame(data, "a int, b int, sim double")
-    return similarity.ranked_similarity(sim)
+def test_equal_vectors_are_compared_once(spark):
+    """Items of a few kinds only: a list goes through the kinds by score, then through their ids."""
+    data = [(p, ["a|b", "b|a", "a|b|c", "c", "c|d"][p % 5]) for p in range(60)] + [(99, "z"), (98, "")]
+    frame = spark.createDataFrame([(p, "", "", "", tags) for p, tags in data], schemas.PRODUCT)
+    for k in (1, 4, 30, 100):
+        got = {(r.a, r.b): r.score for r in similarity.content(frame, k).collect()}
+        assert got == brute_content(data, k)
+    members = overlaps._members(similarity.tag_weights(frame))
+    assert members.select("class").distinct().count() == 5
+    plan = similarity.content(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_no_entries(spark):
+    assert similarity.item_cf(ratings(spark, [])).collect() == []
+
+
+DIMS = 3
+
 
+def made_units(rng, ids):
+    """Unit vectors that lie in a cone, so that many cosines are above the thresholds."""
+    out = {}
+    for i in ids:
+        v = np.array([1.0, rng.uniform(-1, 1), rng.uniform(-1, 1)])
+        out[i] = v / np.sqrt(v @ v)
+    return out
+
+
+def on_circle(angles):
+    """Unit vectors by their angle to the first axis."""
+    return {i: np.array([math.cos(t), math.sin(t), 0.0]) for i, t in angles.items()}
+
+
+def units_frame(spark, units):
+    data = [(i, [float(x) for x in v]) for i, v in units.items()]
+    return spark.createDataFrame(data, "id int, v array<double>")
 
-def scorer(events, recent, rated, sim, k=20):
+
+def sim(units, a, b):
+    return math.floor(float(units[a] @ units[b]) * 1e9 + 0.5) / 1e9
+
+
+def scorer(events, recent, rated, units, k=20):
     """The scoring rule in plain Python."""
     out = {}
-    table = defaultdict(dict)
-    for a, b, s in sim:
-        table[a][b] = s
     for user, product in events:
-        near = [(-s, b) for b, s in table[product].items() if (user, b) not in rated]
+        near = [
+            (-sim(units, product, b), b) for b in units
+            if product in units and b != product and (user, b) not in rated
+            and sim(units, product, b) > 0.4
+        ]
         for _, q in sorted(near)[:k]:
-            hits = [(table[q].get(r, 0.0), score) for u, r, score in recent if u == user]
+            hits = [(sim(units, q, r), x) for u, r, x in recent if u == user and r in units]
             hits = [(s, x) for s, x in hits if s > 0.6]
             if hits:
                 high = sum(x > 3 for _, x in hits)
@@ -267,50 +317,57 @@ def scorer(events, recent, rated, sim, k=20):
     return out
 
 
-def run_scores(spark, events, recent, rated, sim, k=20):
+def run_scores(spark, events, recent, rated, units, k=20):
     event_df = spark.createDataFrame(events, "userId int, productId int")
     rated_df = spark.createDataFrame(sorted(rated), "userId int, productId int")
     recent_df = spark.createDataFrame(
         [(u, i, p, s) for i, (u, p, s) in enumerate(recent)],
         "userId int, rank int, productId int, score double",
     )
-    table = sim_table(spark, sim)
-    cand = realtime.candidates(event_df, table, rated_df, k)
-    return {
-        (r.userId, r.productId): r.score
-        for r in realtime.scores(cand, recent_df, table).collect()
-    }
+    vectors = units_frame(spark, units)
+    cand = realtime.candidates(event_df, vectors, DIMS, rated_df, k)
+    found = realtime.scores(cand, recent_df, vectors)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    return {(r.userId, r.productId): r.score for r in found.collect()}
 
 
 def test_counters(spark):
-    sim = [(1, 50, 0.9)] + [(50, r, 0.8) for r in range(100, 112)]
+    units = on_circle({1: 0.0, 50: 0.3, **{r: 0.3 + 0.5 for r in range(100, 112)}})
     ten_high = [(7, r, 5.0) for r in range(100, 110)]
     two_low = [(7, 110, 1.0), (7, 111, 3.0)]
-    got = run_scores(spark, [(7, 1)], ten_high + two_low, {(7, 1)}, sim)
-    mean = (10 * 0.8 * 5 + 0.8 * 1 + 0.8 * 3) / 12
+    rated = {(7, r) for r in (1, *range(100, 112))}
+    got = run_scores(spark, [(7, 1)], ten_high + two_low, rated, units)
+    mean = math.cos(0.5) * (10 * 5 + 1 + 3) / 12
     assert got == {(7, 50): pytest.approx(mean + 1 - math.log10(2), abs=1e-8)}
-    one = run_scores(spark, [(7, 1)], [(7, 100, 5.0)], {(7, 1)}, sim)
-    assert one == {(7, 50): pytest.approx(4.0)}
+    one = run_scores(spark, [(7, 1)], [(7, 100, 5.0)], rated, units)
+    assert one == {(7, 50): pytest.approx(5 * math.cos(0.5), abs=1e-8)}
 
 
 def test_weak_unknown_and_rated_are_absent(spark):
-    sim = [(1, 50, 0.9), (50, 100, 0.6), (1, 51, 0.9), (51, 100, 0.7)]
-    recent = [(7, 100, 4.0), (8, 100, 4.0)]
-    got = run_scores(spark, [(7, 1), (8, 999)], recent, {(7, 51), (7, 1), (8, 999)}, sim)
-    assert got == {}
+    units = on_circle({1: 0.0, 50: -0.5, 51: 0.2, 100: 0.6, 60: 2.0})
+    recent = [(7, 100, 4.0), (8, 100, 4.0), (7, 555, 4.0)]
+    rated = {(7, 51), (7, 1), (7, 100), (8, 999)}
+    assert run_scores(spark, [(7, 1), (8, 999)], recent, rated, units) == {}
+    got = run_scores(spark, [(7, 1), (8, 999)], recent, rated - {(7, 51)}, units)
+    assert got == {(7, 51): pytest.approx(4 * math.cos(0.4), abs=1e-8)}
 
 
 def test_candidates_beyond_many_rated(spark):
-    """A user who rated the first 150 similar products still gets the next ones."""
-    sim = [(1, 1000 + i, 1 - i / 1000) for i in range(400)]
+    """A user who rated the first 150 similar products still gets the next ones; another one with
+    the same event gets the first."""
+    units = on_circle({1: 0.0, **{1000 + i: (i + 1) / 1000 for i in range(400)}})
     rated = {(7, 1000 + i) for i in range(150)}
     found = realtime.candidates(
-        spark.createDataFrame([(7, 1)], "userId int, productId int"),
-        sim_table(spark, sim),
+        spark.createDataFrame([(7, 1), (8, 1)], "userId int, productId int"),
+        units_frame(spark, units),
+        DIMS,
         spark.createDataFrame(sorted(rated), "userId int, productId int"),
         20,
     )
-    assert [r.productId for r in found.orderBy("rank").collect()] == list(range(1150, 1170))
+    got = {u: [r.productId for r in found.where(F.col("userId") == u).orderBy("rank").collect()]
+           for u in (7, 8)}
+    assert got == {7: list(range(1150, 1170)), 8: list(range(1000, 1020))}
 
 
 @settings(
@@ -318,11 +375,11 @@ def test_candidates_beyond_many_rated(spark):
 )
 @given(st.randoms(use_true_random=False))
 def test_scores_against_plain_python(spark, rng):
-    items = range(12)
-    sim = [(a, b, rng.randrange(40, 100) / 100) for a in items for b in items if a != b]
+    items = range(14)
+    units = made_units(rng, range(12))
     events = [(u, rng.choice(items)) for u in range(4)]
     recent = [(u, rng.choice(items), rng.randrange(1, 11) / 2) for u in range(4) for _ in range(6)]
     rated = {(u, p) for u, p, _ in recent} | set(events)
-    want = scorer(events, recent, rated, sim, 5)
-    got = run_scores(spark, events, recent, rated, sim, 5)
+    want = scorer(events, recent, rated, units, 5)
+    got = run_scores(spark, events, recent, rated, units, 5)
     assert got == {key: pytest.approx(v, abs=1e-8) for key, v in want.items()}
