@@ -20,9 +20,9 @@ import pyarrow.compute as pc
 from shelfwise.llm.common import kept
 
 # A cache of words has two halves of this size; the older one goes when the newer one is full.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 # Texts that are cut into pieces together.
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 2 << 20
 
 # White space in Python, but not in the tokenizers' patterns.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
