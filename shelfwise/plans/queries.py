@@ -580,17 +580,37 @@ def serve_rate_more(spark, folder):
 @query
 def serve_item_cf(spark, folder):
     rated, items, means = _shop(spark, folder)
+    return _served_products(spark, C.ITEM_CF_RECS, sims.item_cf(rated), items, means)
+
+
+def _served_products(spark, name, similar, items, means) -> DataFrame:
+    """The first similar products of every product, from a list table that is stored first."""
+    tables = jobs.Tables(spark, scratch_path(spark, "serve"))
+    order = [F.desc("score"), F.asc("b")]
+    tables.lists(name).publish(product_lists(lists.ranked(similar, "a", order), "score"))
+    stored = jobs.stored_product_lists(tables, name, items.select("productId"))
+    entries = stored.select(F.col("a").alias("sourceId"), F.col("b").alias("productId"), "rank")
     keys = items.select(F.col("productId").alias("sourceId"))
-    found = serving.similar_products(keys, sims.item_cf(rated), items, means, SHOWN)
+    found = serving.listed_products(keys, entries, items, means, "sourceId", SHOWN)
     return _shown(found, "sourceId", "rank")
 
 
+def _served_users(spark, folder, name, ranked) -> DataFrame:
+    """The first products of every customer, from a list table that is stored first."""
+    _, items, means = _shop(spark, folder)
+    tables = jobs.Tables(spark, scratch_path(spark, "serve"))
+    tables.lists(name).publish(lists.nested(ranked, "userId", "productId"))
+    keys = _customers(spark, folder)
+    found = jobs.stored_user_lists(tables, name, keys)
+    return _shown(
+        serving.listed_products(keys, found, items, means, "userId", SHOWN), "userId", "rank"
+    )
+
+
 @query
 def serve_content_based(spark, folder):
     _, items, means = _shop(spark, folder)
-    keys = items.select(F.col("productId").alias("sourceId"))
-    found = serving.similar_products(keys, sims.content(items), items, means, SHOWN)
-    return _shown(found, "sourceId", "rank")
+    return _served_products(spark, C.CONTENT_RECS, sims.content(items), items, means)
 
 
 @query
@@ -612,35 +632,19 @@ def _customers(spark, folder) -> DataFrame:
 
 @query
 def serve_user_recs(spark, folder):
-    _, items, means = _shop(spark, folder)
-    found = serving.listed_products(
-        _customers(spark, folder), _user_lists(spark, folder), items, means, "userId", SHOWN
-    )
-    return _shown(found, "userId", "rank")
+    return _served_users(spark, folder, C.USER_RECS, _user_lists(spark, folder))
 
 
 @query
 def serve_rec_products(spark, folder):
     """The details of listed products, in the order of a user's stored list, looked up by its key."""
-    tables = jobs.Tables(spark, scratch_path(spark, "serve"))
-    stored = lists.nested(_user_lists(spark, folder), "userId", "productId")
-    tables.write(C.USER_RECS, stored)
-    _, items, means = _shop(spark, folder)
-    found = jobs.stored_user_lists(tables)
-    keys = _customers(spark, folder)
-    return _shown(
-        serving.listed_products(keys, found, items, means, "userId", SHOWN), "userId", "rank"
-    )
+    return _served_users(spark, folder, C.USER_RECS, _user_lists(spark, folder))
 
 
 @query
 def serve_stream_recs(spark, folder):
-    rated, items, means = _shop(spark, folder)
-    scored = _scores(rated, _units(spark, folder))
-    found = serving.listed_products(
-        _customers(spark, folder), scored, items, means, "userId", SHOWN
-    )
-    return _shown(found, "userId", "rank")
+    scored = _scores(ratings(spark, folder), _units(spark, folder))
+    return _served_users(spark, folder, C.STREAM_RECS, scored)
 
 
 @query
