@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.functions import cosine, half_star, rounded
 from shelfwise.operators import (
-    blocks, history, lists, overlaps, popularity, realtime, similarity,
+    blocks, history, lists, mutual, overlaps, popularity, realtime, similarity,
 )
 from shelfwise.operators.factor_model import top_predictions
 
@@ -165,6 +165,79 @@ def test_zero_vector_has_no_similarity(spark):
     assert rows(got) == [(2, 3, 1.0), (3, 2, 1.0)]
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+@pytest.mark.parametrize("equal", [False, True])
+def test_best_pairs(spark, monkeypatch, limit, equal):
+    """Also when all vectors have one length, with many equal ones, and for ids without a hit."""
+    monkeypatch.setattr(blocks, "RIGHT_ROWS", 9)
+    draw = np.random.default_rng(3)
+    items = np.round(draw.normal(size=(80, 4)), 1)
+    items *= 1.0 if equal else draw.exponential(size=(80, 1))
+    items[10:25] = items[9]
+    if equal:
+        items = items / np.linalg.norm(items, axis=1, keepdims=True)
+    users = np.concatenate([draw.normal(size=(30, 4)), np.zeros((2, 4))])
+    left = [(int(i), [float(x) for x in v]) for i, v in enumerate(users)]
+    right = [(int(100 - i), [float(x) for x in v]) for i, v in enumerate(items)]
+    found = blocks.best_pairs(vectors(spark, left), vectors(spark, right), 4, 6, 0.2, broadcast_limit=limit)
+    want = {}
+    for a, x in left:
+        scores = [(-math.floor(float(np.dot(x, y)) * 1e9 + 0.5) / 1e9, b) for b, y in right]
+        want |= {(a, b): pytest.approx(-s, abs=2e-9) for s, b in sorted(scores)[:6] if -s > 0.2}
+    got = {(r.a, r.b): r.score for r in found.collect()}
+    assert got == want
+    for empty in (vectors(spark, left).limit(0), vectors(spark, right).limit(0)):
+        assert blocks.best_pairs(empty, empty, 4, 6, 0.2).count() == 0
+    assert blocks.best_pairs(vectors(spark, left), vectors(spark, right).limit(0), 4, 6, 0.2).count() == 0
+
+
+def unit_rows(seed, n, dims, spread):
+    """Unit vectors around a few directions."""
+    draw = np.random.default_rng(seed)
+    middles = draw.normal(size=(6, dims))
+    v = middles[draw.integers(0, 6, n)] + spread * draw.normal(size=(n, dims))
+    v = v / np.linalg.norm(v, axis=1, keepdims=True)
+    v[1] = v[0]
+    return [(int(i), [float(x) for x in row]) for i, row in zip(draw.permutation(3 * n)[:n], v)]
+
+
+def plain_pairs(data, threshold, k=None):
+    out = set()
+    for a, x in data:
+        found = []
+        for b, y in data:
+            score = math.floor(float(np.dot(x, y)) * 1e9 + 0.5) / 1e9
+            if a != b and score > threshold:
+                found.append((-score, b))
+        out |= {(a, b, -s) for s, b in sorted(found)[:k]}
+    return out
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+@pytest.mark.parametrize("threshold, k", [(0.4, None), (0.9, None), (0.4, 3)])
+def test_similar_pairs(spark, monkeypatch, limit, threshold, k):
+    monkeypatch.setattr(mutual, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(mutual, "MAX_CENTRES", 10)
+    data = unit_rows(4, 150, 5, 0.3)
+    found = mutual.similar_pairs(vectors(spark, data), 5, threshold, k, broadcast_limit=limit)
+    got = [(r.a, r.b, r.score) for r in found.collect()]
+    want = {(a, b): s for a, b, s in plain_pairs(data, threshold, k)}
+    assert len(got) == len(want)
+    assert {(a, b): s for a, b, s in got} == {key: pytest.approx(s, abs=2e-9) for key, s in want.items()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_tiles_that_are_too_far_apart_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(mutual, "BLOCK_ROWS", 20)
+    units = vectors(spark, unit_rows(5, 600, 3, 0.05))
+    made, all_tiles = mutual.tile_counts(units, 3, 0.9)
+    assert made < all_tiles / 2
+    assert mutual.tile_counts(units, 3, 0.9, broadcast_limit=0) == (all_tiles, all_tiles)
+    assert mutual.similar_pairs(units.limit(0), 3, 0.9).count() == 0
+    assert mutual.similar_pairs(vectors(spark, [(5, [1.0, 0.0])]), 2, 0.4).count() == 0
+
+
 def brute_cf(data, k):
     raters = defaultdict(set)
     for u, p, *_ in data:
