@@ -255,7 +255,7 @@ def brute_cf(data, k):
 
 def small_cells(monkeypatch, rows, entries, dense):
     for name, value in (("BLOCK_ROWS", rows), ("CELL_ENTRIES", entries), ("DENSE", dense),
-                        ("CHUNK_PAIRS", 50)):
+                        ("CHUNK_PAIRS", 50), ("SPARSE", 8 if rows > 3 else 1)):
         monkeypatch.setattr(overlaps, name, value)
 
 
