@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.llm.common import slices, strings
+from shelfwise.llm.common import slices, strings, unlike
 from shelfwise.llm import tokens
 from shelfwise.session import staged
 
@@ -73,8 +73,9 @@ def pack(
 
     A document is its ids and ``end_id``; a null or empty text is the end id alone. Pieces of a
     sequence follow each other without gaps from offset 0 and have at most ``window`` ids together.
-    Every id of every row is in one piece; repeated rows are packed each, null keys are kept. An
-    empty table gives no rows. Other columns are not read.
+    Every id of every row is in one piece; repeated rows are packed each, null keys are kept. Of
+    windows with equal room the first one opened takes a piece. An empty table gives no rows. Other
+    columns are not read; where the result's names clash, the later one gets an underscore.
     """
     keyed = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     key_type = keyed.schema["key"].dataType.simpleString()
@@ -157,5 +158,5 @@ def pack(
 
     merged = left.groupBy("team").applyInArrow(merge, merged_schema)
     pieces = closed.select(*merged_names).unionByName(merged)
-    pieces = pieces.withColumnRenamed("key", key)
-    return pieces if keep_ids else pieces.drop("ids")
+    shown = merged_names if keep_ids else merged_names[:-1]
+    return pieces.select(*shown).toDF(*unlike([key, *shown[1:]]))

@@ -16,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.llm.common import map_text, strings
+from shelfwise.llm.common import map_text, strings, unlike
 from shelfwise.llm.training import TRAIN_ROWS, held_out, sample
 
 SENTENCE = regex.compile(r"[^.!?…\n]+[.!?…]*")
@@ -198,7 +198,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
 
 
 def located(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per offending sentence: key, ``start`` and ``end`` (code points), ``probability``."""
+    """One row per offending sentence: key, ``start`` and ``end`` (code points), ``probability``.
+
+    Texts without sentences, null or empty, have none; repeated rows are searched each; an empty
+    table gives no rows. Other columns are not read; where the result's names clash, the later one
+    gets an underscore.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make(keys, texts):
@@ -215,4 +220,4 @@ def located(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
 
     names = ["key", "start", "end", "probability"]
     found = _mapped(docs, text, key, "start int, end int, probability double", names, make)
-    return found.withColumnRenamed("key", key)
+    return found.toDF(*unlike([key, *names[1:]]))

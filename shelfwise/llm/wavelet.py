@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shelfwise.llm.common import read_range, slices, strings, write_file
+from shelfwise.llm.common import read_range, slices, strings, unlike, write_file
 from shelfwise.llm import tokens
 from shelfwise.session import compute_slots, scratch_path, staged
 
@@ -259,7 +259,11 @@ def _dealt(shards: DataFrame) -> DataFrame:
 
 def read_documents(shards: DataFrame, key: str = "doc_id", key_type: str = "bigint") -> DataFrame:
     """One row per document from the shard files: key, start, n_tokens, ids_crc32, and ``ids``,
-    the ids as little-endian unsigned 32-bit bytes."""
+    the ids as little-endian unsigned 32-bit bytes.
+
+    Documents without text have the end id alone, null keys and repeated rows are kept, and no
+    shards give no rows. Where the result's names clash, the later one gets an underscore.
+    """
 
     def read(batches):
         for batch in batches:
@@ -282,9 +286,9 @@ def read_documents(shards: DataFrame, key: str = "doc_id", key_type: str = "bigi
                         names=names,
                     )
 
-    names = [key, "start", "n_tokens", "ids_crc32", "ids"]
-    schema = f"`{key}` {key_type}, start long, n_tokens long, ids_crc32 long, ids binary"
-    return _dealt(shards).mapInArrow(read, schema)
+    names = ["key", "start", "n_tokens", "ids_crc32", "ids"]
+    schema = f"key {key_type}, start long, n_tokens long, ids_crc32 long, ids binary"
+    return _dealt(shards).mapInArrow(read, schema).toDF(*unlike([key, *names[1:]]))
 
 
 def occurrences(
