@@ -137,6 +137,67 @@ def test_gradient_of_the_noisy_or():
     assert model.score("") == 0.0
 
 
+def training_rows(spark, folder, label):
+    """(text, label) of the labelled documents that may be learned from, read without the operator."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    known = {r.doc_id: r[label] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    return docs, [(docs[k], float(y)) for k, y in known.items()
+                  if k in docs and y is not None and not plain_held_out(k)]
+
+
+def unit(rows):
+    length = np.sqrt((rows * rows).sum(axis=-1, keepdims=True))
+    return np.where(length > 0, rows / np.where(length > 0, length, 1), 0)
+
+
+def test_quality_query_equals_brute_force(spark):
+    """Neighbours by a singular value decomposition and a sort of all cosines."""
+    docs, train = training_rows(spark, MIDDLE, "quality")
+    labels = np.array([y for _, y in train])
+    rows = quality.rows_of([t for t, _ in train]).astype(np.float16).astype(float)
+    weights = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 0.2
+    weighted = unit(rows * weights)
+    space = np.linalg.svd(weighted, full_matrices=False)[2][:quality.RANK].T
+    vectors = unit(weighted @ space)
+    found = {r.doc_id: r.score for r in queries.op4_quality(spark, MIDDLE).collect()}
+    assert found.keys() == docs.keys()
+    far = 0
+    for key, text in docs.items():
+        row = quality.rows_of([text])[0].astype(float)
+        if not row.any():
+            assert abs(found[key] - labels.mean()) < 1e-6
+            continue
+        cosine = vectors @ unit(unit(row * weights) @ space)
+        near = cosine >= np.sort(cosine)[-quality.NEIGHBOURS] - 1e-6
+        weight = np.clip(cosine[near], 0, 1) ** 4
+        far += abs((weight * labels[near]).sum() / weight.sum() - found[key]) > 2e-2
+    # Neighbours that differ in the last digits of a cosine may change places.
+    assert far <= 0.01 * len(docs)
+
+
+def test_toxicity_query_equals_brute_force(spark):
+    """The model learned from rows read apart, and the noisy-or written out."""
+    docs, train = training_rows(spark, MIDDLE, "toxic")
+
+    def hashed(text):
+        return [np.array([h for w in sorted(words) for h in toxicity.word_hashes(w)], np.int32)
+                for _, _, words in toxicity.sentences(text)]
+
+    def packed(text):
+        found = hashed(text)
+        return np.array([len(found), *map(len, found), *(h for f in found for h in f)], "<i4").tobytes()
+
+    train.sort(key=lambda r: (packed(r[0]), r[1]))
+    model = toxicity.Model.fitted([hashed(t) for t, _ in train], np.array([y for _, y in train]))
+    found = {r.doc_id: r.score for r in queries.op7_toxicity(spark, MIDDLE).collect()}
+    assert found.keys() == docs.keys()
+    for key, text in docs.items():
+        clean = 1.0
+        for words in hashed(text):
+            clean *= 1 - 1 / (1 + np.exp(-(model.bias + sum(model.weights.get(h, 0.0) for h in words.tolist()))))
+        assert abs(found[key] - (1 - clean)) < 1e-6
+
+
 @pytest.mark.parametrize("query,label,least", [("op4_quality", "quality", 0.97), ("op7_toxicity", "toxic", 0.9)])
 def test_held_out_accuracy(spark, query, label, least):
     labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
