@@ -1,6 +1,7 @@
 """The text pipeline: quality rules, near-duplicates, decontamination, secrets, packing.
 
-Each stage takes the table the stage before wrote. All but the last give the columns of documents.
+Each stage takes the table the stage before wrote. All but the last give the columns of documents,
+whatever further ones there are and whatever their names. An empty table stays empty in every stage.
 """
 
 from __future__ import annotations
@@ -14,27 +15,33 @@ from shelfwise.session import staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Rejected documents go; the others lose the lines that fail."""
+    """Rejected documents go, those without text among them; the others lose the lines that fail.
+    Repeated rows are judged each, rows with a null id like any other."""
     return rules.cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each near-duplicate component stays."""
+    """One document of each near-duplicate component stays: that with the smallest id, null last;
+    of repeated rows with that id, one with the smallest fingerprint, then the smallest text hash.
+    Texts without words, null ones included, are one component."""
     return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. Those without text stay, repeated rows go or stay
+    together, and items without text are in no document."""
     return decontaminate.cleaned(docs, table(spark, folder, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Secrets in the texts are replaced by a mark; all documents stay."""
+    """Secrets in the texts are replaced by a mark; all documents stay, repeated ones too. Spans
+    that overlap are replaced once, and a null text stays null."""
     return secrets.redacted(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents' tokens as pieces of training sequences."""
+    """The documents' tokens as pieces of training sequences. A document without text is its end id
+    alone; repeated rows are packed each."""
     return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
 
 
