@@ -19,10 +19,11 @@ import pyarrow.compute as pc
 
 from shelfwise.llm.common import kept
 
-# A cache of words has two halves of this size; the older one goes when the newer one is full.
-CACHE_WORDS = 150_000
+# A cache of words has two halves of this size; the older one goes when the newer one is full. Where
+# words after a space have ids of their own, these get a half of it, and words without one a quarter.
+CACHE_WORDS = 400_000
 # Texts that are cut into pieces together.
-GROUP_CHARS = 2 << 20
+GROUP_CHARS = 4 << 20
 
 # White space in Python, but not in the tokenizers' patterns.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -56,6 +57,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._spaced = self._plain(" a") != self._plain("a")
+        self._most = (CACHE_WORDS // 4, CACHE_WORDS // 2) if self._spaced else (CACHE_WORDS, 0)
         # Ids of plain words after a space and of such without, the newer and the older half; ids of
         # other pieces.
         self._words: list[dict[str, bytes]] = [{}, {}]
@@ -166,7 +168,9 @@ class Encoder:
         starts = np.cumsum(sizes) - sizes
         repeats = sizes[number]
         ends = np.cumsum(repeats)
-        place = np.arange(ends[-1]) + np.repeat(starts[number] - ends + repeats, repeats)
+        kind = np.int32 if ends[-1] < 1 << 30 and len(found) < 1 << 30 else np.int64
+        place = np.repeat((starts[number] - ends + repeats).astype(kind), repeats)
+        place += np.arange(ends[-1], dtype=kind)
         data = np.frombuffer(b"".join(found), "<u4")[place].tobytes()
         cuts = 4 * np.concatenate([[0], ends])[bounds]
         return [data[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
@@ -198,7 +202,7 @@ class Encoder:
                 return None
             shown = (" " + word if spaced else word).translate(self._letters)
             ids = array("I", [t.id for t in self._tokenize(shown)]).tobytes()
-        if len(self._words[spaced]) >= CACHE_WORDS:
+        if len(self._words[spaced]) >= self._most[spaced]:
             self._older[spaced], self._words[spaced] = self._words[spaced], {}
         self._words[spaced][word] = ids
         return ids
@@ -207,7 +211,7 @@ class Encoder:
         """The ids of a piece that is no plain word."""
         ids = self._other.get(piece)
         if ids is None:
-            if len(self._other) >= CACHE_WORDS // 10:
+            if len(self._other) >= max(10, CACHE_WORDS // 20):
                 self._other.clear()
             ids = self._other[piece] = self._plain(piece)
         return ids
