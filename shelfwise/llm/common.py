@@ -85,6 +85,11 @@ def kept(kind: str, key, build: Callable[[], object]):
     return held[kind][1]
 
 
+def freed() -> None:
+    """Drops what ``kept`` holds, in tasks of stages that need the memory for themselves."""
+    vars(sys.modules.setdefault(_KEPT, ModuleType(_KEPT))).clear()
+
+
 def unlike(names: list[str]) -> list[str]:
     """The names, where one that an earlier one has gets underscores."""
     taken, out = set(), []

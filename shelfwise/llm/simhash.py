@@ -20,14 +20,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from shelfwise.llm.common import fresh_name, map_text, unlike, utf8
+from shelfwise.llm.common import freed, fresh_name, map_text, unlike, utf8
 from shelfwise.llm.components import components
 from shelfwise.session import BROADCAST_LIMIT_BYTES, compute_slots, staged
 
 BITS = 64
 SHINGLE_SEED = 42
 # Variants in memory at a time.
-PASS_VARIANTS = 4 << 20
+PASS_VARIANTS = 2 << 20
 # Fingerprints that one bucket may hold.
 BUCKET_PRINTS = 16 << 20
 LEAST_BUCKET_BITS = 6
@@ -69,7 +69,11 @@ def with_fingerprints(df: DataFrame, text: str, words: int, name: str) -> DataFr
         prints = [fingerprint(x, words) for x in utf8(batch, text)]
         return batch.append_column(name, pa.array(prints, pa.int64()))
 
-    return map_text(df, text, schema, lambda: run)
+    def build():
+        freed()
+        return run
+
+    return map_text(df, text, schema, build)
 
 
 def _linear_hash(values: np.ndarray, bits: int) -> np.ndarray:
@@ -195,6 +199,7 @@ def _meet(bits: int, distance: int):
     """Grouped by bucket: a spanning forest of the links between the bucket's fingerprints."""
 
     def run(group: pa.Table) -> pa.Table:
+        freed()
         bucket = group.column("bucket")[0].as_py()
         blocks = [np.frombuffer(x, np.int64) for x in group.column("prints").to_pylist()]
         prints = np.unique(np.concatenate(blocks)).view(np.uint64)
