@@ -340,6 +340,30 @@ def test_equal_vectors_are_compared_once(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("pairs, piece, chunk", [(50, 3, 50), (1 << 20, 512, 4 << 20), (400, 7, 7)])
+def test_overlaps_without_tiles(spark, monkeypatch, pairs, piece, chunk):
+    """Few shared features: no entries are copied to tiles of all blocks."""
+    for name, value in (("BLOCK_PAIRS", pairs), ("PIECE_ENTRIES", piece), ("CHUNK_PAIRS", chunk),
+                        ("BLOCK_ROWS", 20)):
+        monkeypatch.setattr(overlaps, name, value)
+    rng = random.Random(7)
+    data = [(u, rng.randrange(-200, 200), 1.0, 1) for u in range(300) for _ in range(3)]
+    data += [(1000, p, 1.0, 1) for p in range(-10, 15)] + [(u, 5, 1.0, 1) for u in range(40)]
+
+    def tiles(*_):
+        raise AssertionError("tiles")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(overlaps, "_cells", tiles)
+        got = similarity.item_cf(ratings(spark, data), 6)
+    assert {tuple(r) for r in got.collect()} == brute_cf(data, 6)
+    monkeypatch.setattr(overlaps, "SCATTERED", 0)
+    tagged = [(p, "|".join(["common"] * (p % 3 == 0) + rng.choices("abcdefgh", k=3))) for p in range(40)]
+    products = spark.createDataFrame([(p, "", "", "", tags) for p, tags in tagged], schemas.PRODUCT)
+    got = {(r.a, r.b): r.score for r in similarity.content(products, 5).collect()}
+    assert got == brute_content(tagged, 5)
+
+
 def test_no_entries(spark):
     assert similarity.item_cf(ratings(spark, [])).collect() == []
 
