@@ -228,6 +228,28 @@ def test_similar_pairs(spark, monkeypatch, limit, threshold, k):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_summary_adds_up_the_pairs(spark, monkeypatch, limit):
+    monkeypatch.setattr(mutual, "BLOCK_ROWS", 7)
+    data = unit_rows(3, 60, 3, 1.0)
+    frame = spark.createDataFrame(data, "id int, v array<double>")
+    got = mutual.similar_pairs(frame, 3, 0.5, broadcast_limit=limit, summary=True)
+    pairs = mutual.similar_pairs(frame, 3, 0.5, broadcast_limit=limit).collect()
+    want = {}
+    for i in {r.a for r in pairs} | {r.b for r in pairs}:
+        own = [r.score for r in pairs if r.a == i]
+        want[i] = (len(own), min(own), max(own), sum(r.b == i for r in pairs))
+    assert {r.id: (r.n, r.low, r.high, r.named) for r in got.collect()} == want
+
+
+def test_least_above_is_where_rounding_goes_above():
+    for threshold in (0.0, 0.4, -0.3, 0.123456789):
+        for digits in (9, 3, None):
+            least = blocks._least_above(threshold, digits)
+            assert blocks._rounded(least, digits) > threshold
+            assert not blocks._rounded(np.nextafter(least, -np.inf), digits) > threshold
+
+
 def test_tiles_that_are_too_far_apart_are_left_out(spark, monkeypatch):
     monkeypatch.setattr(mutual, "BLOCK_ROWS", 20)
     units = vectors(spark, unit_rows(5, 600, 3, 0.05))
