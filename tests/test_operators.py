@@ -151,6 +151,14 @@ def test_counted_pairs(spark):
     assert rows(blocks.counted_pairs(a, b, 1, 0.0)) == [(1, 3, 2), (2, 3, 0)]
 
 
+def test_a_null_id_does_no_harm(spark):
+    left = spark.createDataFrame([(None, [1.0, 0.0]), (1, [1.0, 2.0])], "id int, v array<double>")
+    right = spark.createDataFrame([(5, [1.0, 1.0]), (6, [-1.0, 0.0])], "id int, v array<double>")
+    counted = {r.a: (r.pairs, r.above) for r in blocks.counted_pairs(left, right, 2, 0.0).collect()}
+    assert counted[1] == (2, 1) and len(counted) == 2
+    assert [tuple(r) for r in blocks.best_pairs(left, right, 2, 3, 0.0).collect()] == [(1, 5, 3.0)]
+
+
 def test_top_predictions_keeps_positive(spark):
     got = top_predictions(
         vectors(spark, [(1, [1.0, 0.0])]),
