@@ -14,6 +14,7 @@ from shelfwise.operators import (
     blocks, history, lists, mutual, overlaps, popularity, realtime, similarity,
 )
 from shelfwise.operators.factor_model import top_predictions
+from shelfwise.plans.queries import QUERIES
 
 
 def rows(df):
@@ -236,6 +237,68 @@ def test_similar_pairs(spark, monkeypatch, limit, threshold, k):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+@pytest.mark.parametrize("copies", [0, 40])
+def test_similar_lists(spark, monkeypatch, limit, copies):
+    """Whole ranked lists in parts, also of equal vectors and of ids that come several times."""
+    monkeypatch.setattr(mutual, "RIGHT_ROWS", 40)
+    monkeypatch.setattr(mutual, "LIST_CELLS", 500)
+    data = unit_rows(6, 150, 5, 0.3)
+    data += [(10_000 + i, data[7][1]) for i in range(20)] + data[:copies] + data[:copies // 2]
+    found = mutual.similar_lists(vectors(spark, data), 5, 0.4, part_size=10, broadcast_limit=limit)
+    stored = [(r.a, r.part, [(x.productId, x.score) for x in r.recs]) for r in found.collect()]
+    assert len({(a, part) for a, part, _ in stored}) == len(stored)
+    assert max(len(recs) for *_, recs in stored) == 10
+    got = {}
+    for a, _, recs in sorted(stored):
+        got.setdefault(a, []).extend(recs)
+    times = Counter(i for i, _ in data)
+    plain = plain_pairs(data, 0.4)
+    assert {a: len(recs) for a, recs in got.items()} == {
+        i: times[i] * sum(times[b] for a, b, _ in plain if a == i) for i in {a for a, *_ in plain}
+    }
+    want = {(a, b): s for a, b, s in plain}
+    for a, recs in got.items():
+        assert recs == sorted(recs, key=lambda x: (-x[1], x[0]))
+        assert all(want[a, b] == pytest.approx(s, abs=2e-9) for b, s in recs)
+
+
+def test_similar_lists_of_odd_sets(spark):
+    assert mutual.similar_lists(vectors(spark, []), 2, 0.4).count() == 0
+    assert mutual.similar_lists(vectors(spark, [(5, [1.0, 0.0])]), 2, 0.4).count() == 0
+    twice = mutual.similar_lists(vectors(spark, [(5, [1.0, 0.0]), (5, [1.0, 0.0])]), 2, 0.4)
+    assert twice.count() == 0
+    # An id with two vectors is not similar to itself.
+    data = [(5, [1.0, 0.0]), (5, [0.8, 0.6]), (6, [0.0, 1.0])]
+    listed = lists.flattened(mutual.similar_lists(vectors(spark, data), 2, 0.4), "a", "b")
+    assert rows(listed.select("a", "rank", "b", "score")) == [(5, 1, 6, 0.6), (6, 1, 5, 0.6)]
+
+
+def embeddings(spark, folder, n):
+    """An embeddings table of some rows."""
+    draw = np.random.default_rng(7)
+    data = [(i, [float(x) for x in draw.normal(size=64)]) for i in range(n)]
+    spark.createDataFrame(data, "vec_id bigint, embedding array<float>").write.parquet(
+        f"{folder}/embeddings.parquet"
+    )
+    return str(folder)
+
+
+def above_the_tiles(df):
+    """The plan nodes that get rows from the multiplied blocks."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[:plan.index("MapInArrow")]
+
+
+def test_ranking_shuffles_no_pairs(spark, tmp_path):
+    """The lists come out of the tasks that find their pairs: no exchange, sort or window above."""
+    folder = embeddings(spark, tmp_path, 90)
+    found = QUERIES["item_cosine_ranked"](spark, folder)
+    assert not [x for x in ("Exchange", "Sort", "Window", "Aggregate") if x in above_the_tiles(found)]
+    pairs = QUERIES["item_cosine_similarity"](spark, folder)
+    assert rows(found) == rows(similarity.ranked_similarity(pairs).select("a", "rank", "b", "sim"))
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 30])
 def test_summary_adds_up_the_pairs(spark, monkeypatch, limit):
     monkeypatch.setattr(mutual, "BLOCK_ROWS", 7)
