@@ -15,6 +15,7 @@ from shelfwise.operators import (
 )
 from shelfwise.operators.factor_model import top_predictions
 from shelfwise.plans.queries import QUERIES
+from shelfwise.sources import sinks
 
 
 def rows(df):
@@ -299,6 +300,18 @@ def test_ranking_shuffles_no_pairs(spark, tmp_path):
     assert rows(found) == rows(similarity.ranked_similarity(pairs).select("a", "rank", "b", "sim"))
 
 
+def test_stored_lists_shuffle_no_pairs(spark, tmp_path, monkeypatch):
+    """What is written comes out of the tasks that find the pairs."""
+    folder = embeddings(spark, tmp_path, 60)
+    written = []
+    write = sinks.overwrite
+    monkeypatch.setattr(sinks, "overwrite", lambda df, path: written.append(df) or write(df, path))
+    found = rows(QUERIES["sink_nested_roundtrip"](spark, folder))
+    assert not [x for x in ("Exchange", "Sort", "Window", "Aggregate") if x in above_the_tiles(written[0])]
+    pairs = QUERIES["item_cosine_similarity"](spark, folder)
+    assert found == rows(similarity.ranked_similarity(pairs).select("a", "rank", "b", "sim"))
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 30])
 def test_summary_adds_up_the_pairs(spark, monkeypatch, limit):
     monkeypatch.setattr(mutual, "BLOCK_ROWS", 7)
