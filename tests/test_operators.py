@@ -300,6 +300,17 @@ def test_ranking_shuffles_no_pairs(spark, tmp_path):
     assert rows(found) == rows(similarity.ranked_similarity(pairs).select("a", "rank", "b", "sim"))
 
 
+def test_pairs_lie_beside_their_mirrors(spark, tmp_path):
+    """So near that a compressed file has most scores of two pairs once."""
+    folder = embeddings(spark, tmp_path, 300)
+    found = QUERIES["item_cosine_similarity"](spark, folder).collect()
+    place = {(r.a, r.b): at for at, r in enumerate(found)}
+    assert len(place) == len(found) > 10_000
+    assert max(abs(at - place[b, a]) for (a, b), at in place.items()) <= 64
+    score = {(r.a, r.b): r.sim for r in found}
+    assert all(score[b, a] == x for (a, b), x in score.items())
+
+
 def test_stored_lists_shuffle_no_pairs(spark, tmp_path, monkeypatch):
     """What is written comes out of the tasks that find the pairs."""
     folder = embeddings(spark, tmp_path, 60)
